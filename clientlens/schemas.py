@@ -6,7 +6,16 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 log = logging.getLogger(__name__)
 
@@ -106,7 +115,26 @@ _GOLD = {
     ),
 }
 
-AUDIT = StructType.fromDDL(
+_TYPES = {
+    "STRING": StringType(),
+    "DOUBLE": DoubleType(),
+    "INT": IntegerType(),
+    "BIGINT": LongType(),
+    "BOOLEAN": BooleanType(),
+    "DATE": DateType(),
+    "TIMESTAMP": TimestampType(),
+}
+
+
+def _struct(columns: str) -> StructType:
+    schema = StructType()
+    for column in columns.split(","):
+        name, type_name = column.split()
+        schema = schema.add(name, _TYPES[type_name])
+    return schema
+
+
+AUDIT = _struct(
     "batch_id STRING, table_name STRING, source_system STRING, run_mode STRING, status STRING, "
     "rows_ingested BIGINT, last_run_time TIMESTAMP, current_run_time TIMESTAMP, "
     "error_message STRING, created_at TIMESTAMP"
@@ -114,7 +142,7 @@ AUDIT = StructType.fromDDL(
 
 
 def _with_meta(tables: dict[str, str], meta: str) -> dict[str, StructType]:
-    return {name: StructType.fromDDL(f"{ddl}, {meta}") for name, ddl in tables.items()}
+    return {name: _struct(f"{ddl}, {meta}") for name, ddl in tables.items()}
 
 
 BRONZE = _with_meta(_SOURCE, _INGEST_META)
