@@ -320,7 +320,7 @@ def scd2_refresh_attributes(bank: Bank) -> DataFrame:
 
 @query
 def scd2_history(bank: Bank) -> DataFrame:
-    return scd.scd2_history(bank.customer_history, "customer_id", "CIF000000014").select(
+    return scd.scd2_history(bank.customer_history, "customer_id", "CIF000000007").select(
         "customer_id",
         "customer_segment",
         "city",

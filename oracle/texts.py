@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import compose, newest
+from oracle.base import AS_OF, age_years, compose, newest
 
 _BODIES: dict[str, str] = {}
 
@@ -80,7 +80,7 @@ _BODIES["scd2_refresh_attributes"] = """
     FROM history h LEFT JOIN dim_customer_2 n ON n.customer_id = h.customer_id"""
 _BODIES["scd2_history"] = """
     SELECT customer_id, customer_segment, city, version, is_current, effective_from, effective_to
-    FROM history WHERE customer_id = 'CIF000000014' ORDER BY version"""
+    FROM history WHERE customer_id = 'CIF000000007' ORDER BY version"""
 _BODIES["scd2_as_of"] = """
     SELECT customer_id, customer_segment, version FROM history
     WHERE TIMESTAMP '2000-01-15' >= effective_from AND TIMESTAMP '2000-01-15' < coalesce(effective_to, TIMESTAMP '9999-01-01')"""
@@ -99,10 +99,8 @@ _BODIES["agg_txn_12m"] = "SELECT * FROM activity_now"
 _BODIES["agg_txn_auto"] = "SELECT * FROM activity_auto"
 _BODIES["mart_base"] = "SELECT * EXCLUDE (full_name, phone, email) FROM base_now"
 _BODIES["mart_customer_360"] = "SELECT * FROM mart_now"
-_BODIES["customer_age"] = """
-    SELECT customer_id, date_of_birth,
-           CAST(extract('year' FROM age(DATE '2000-06-30', date_of_birth)) AS INT) AS age
-    FROM src_customers"""
+_BODIES["customer_age"] = f"""
+    SELECT customer_id, date_of_birth, {age_years(AS_OF)} AS age FROM src_customers"""
 _BODIES["tenure"] = """
     SELECT customer_id, first_open_date, CAST(DATE '2000-06-30' - first_open_date AS INT) AS tenure_days
     FROM holdings_now"""
