@@ -333,7 +333,7 @@ def scd2_history(bank: Bank) -> DataFrame:
 
 @query
 def scd2_as_of(bank: Bank) -> DataFrame:
-    valid = scd.scd2_as_of(bank.customer_history, date(2000, 1, 15))
+    valid = scd.scd2_as_of(bank.customer_history, datetime(2000, 1, 15))
     return valid.select("customer_id", "customer_segment", "version")
 
 

@@ -56,9 +56,7 @@ class AuditLog:
 
     def last_run_time(self, table: str) -> datetime | None:
         """Latest successful run of a table; only a missing log counts as no run at all."""
-        latest = last_run_time(self.read(), table)
-        # Session time zone is UTC; Python gets the value as naive local time.
-        return None if latest is None else latest.astimezone(timezone.utc)
+        return last_run_time(self.read(), table)
 
 
 def run_steps(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.config import SILVER_TABLES, UPPER_COLUMNS, SilverTable
+from clientlens.functions.times import instant
 from clientlens.jobs.audit import AuditLog, run_steps
 from clientlens.jobs.ingest import bronze_table
 from clientlens.operators import scd
@@ -61,7 +62,7 @@ def load_scd2(
         return 0
     state = scd.scd2_apply(history, incoming, table, run_ts, batch_id, refresh_attributes)
     target.publish(state, "replace", "versions", batch_id)
-    return target.read().filter(F.col("effective_from") == run_ts).count()
+    return target.read().filter(F.col("effective_from") == instant(run_ts)).count()
 
 
 def load_fact(

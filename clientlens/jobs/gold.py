@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.config import SILVER_TABLES, GoldSettings
+from clientlens.functions.times import instant
 from clientlens.jobs.audit import AuditLog, run_steps
 from clientlens.jobs.conform import silver_table
 from clientlens.plans.activity import customer_activity, latest_transaction_date
@@ -31,7 +32,7 @@ def _silver(lake: Lake, name: str) -> DataFrame:
 
 def with_gold_meta(df: DataFrame, batch_id: str, run_ts: datetime) -> DataFrame:
     return df.withColumns(
-        {"_gold_loaded_at": F.lit(run_ts).cast("timestamp"), "_gold_batch_id": F.lit(batch_id)}
+        {"_gold_loaded_at": instant(run_ts), "_gold_batch_id": F.lit(batch_id)}
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, VariantType
 
+from clientlens.functions.times import instant
+
 
 def clean_strings(df: DataFrame) -> DataFrame:
     """Strip surrounding spaces from every string column; empty text becomes NULL."""
@@ -55,7 +57,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 def with_silver_meta(df: DataFrame, batch_id: str, run_ts: datetime) -> DataFrame:
     """Stamp rows with the load time and batch."""
     return df.withColumns(
-        {"_silver_loaded_at": F.lit(run_ts).cast("timestamp"), "_silver_batch_id": F.lit(batch_id)}
+        {"_silver_loaded_at": instant(run_ts), "_silver_batch_id": F.lit(batch_id)}
     )
 
 

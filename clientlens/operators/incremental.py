@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientlens.functions.times import instant
 from clientlens.operators.cleansing import latest_per_key
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 
 def change_window(
     df: DataFrame, change_column: str, last: datetime | None, now: datetime
@@ -20,7 +23,7 @@ def change_window(
     if last is None:
         return df
     changed = F.col(change_column)
-    return df.filter((changed > F.lit(last)) & (changed <= F.lit(now)))
+    return df.filter((changed > instant(last)) & (changed <= instant(now)))
 
 
 def watermarks(audit: DataFrame) -> DataFrame:
@@ -34,18 +37,19 @@ def watermarks(audit: DataFrame) -> DataFrame:
 
 def last_run_time(audit: DataFrame, table: str) -> datetime | None:
     """Latest successful run time of one table, None if it never succeeded."""
-    return (
+    micros = (
         audit.filter((F.col("table_name") == table) & (F.col("status") == "SUCCESS"))
-        .agg(F.max("current_run_time"))
+        .agg(F.unix_micros(F.max("current_run_time")))
         .first()[0]
     )
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
 def with_ingest_meta(df: DataFrame, run_ts: datetime, source: str, batch_id: str) -> DataFrame:
     """Stamp rows with the run time, source system and batch."""
     return df.withColumns(
         {
-            "_ingested_at": F.lit(run_ts).cast("timestamp"),
+            "_ingested_at": instant(run_ts),
             "_source_system": F.lit(source),
             "_batch_id": F.lit(batch_id),
         }

@@ -7,7 +7,7 @@ None of them writes. Each takes the stored state and one delivery and returns th
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import datetime
 from functools import reduce
 from operator import or_
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.config import SilverTable
+from clientlens.functions.times import as_utc, instant
 
 _VERSION_COLUMNS = (
     "row_hash",
@@ -44,7 +45,7 @@ def row_hash(tracked: Sequence[str]) -> Column:
 
 def surrogate_key(key: str, run_ts: datetime) -> Column:
     """Key of one version: MD5 of the natural key and the run time to the second."""
-    return F.md5(F.concat(F.col(key), F.lit(f"|{run_ts:%Y-%m-%d %H:%M:%S}")))
+    return F.md5(F.concat(F.col(key), F.lit(f"|{as_utc(run_ts):%Y-%m-%d %H:%M:%S}")))
 
 
 def version_columns(table: SilverTable) -> list[str]:
@@ -104,7 +105,7 @@ def scd2_apply(
     current = history.filter("is_current").select(
         F.col(table.key).alias("_key"), F.struct(*columns).alias("old")
     )
-    run_time = F.lit(run_ts).cast("timestamp")
+    run_time = instant(run_ts)
     opened_values = {
         table.surrogate: surrogate_key(table.key, run_ts),
         "row_hash": row_hash(table.tracked),
@@ -141,14 +142,13 @@ def scd2_apply(
 
 def check_advances(history: DataFrame, run_ts: datetime) -> None:
     """Refuse a run time that is not later than every version in the table."""
-    latest = history.agg(F.max("effective_from")).first()[0]
-    if latest is not None and run_ts.replace(tzinfo=None) <= latest:
-        raise ValueError(f"run time {run_ts} is not after the latest version ({latest})")
+    if not history.filter(F.col("effective_from") >= instant(run_ts)).isEmpty():
+        raise ValueError(f"run time {run_ts} is not after the latest version")
 
 
-def scd2_as_of(history: DataFrame, moment: datetime | date) -> DataFrame:
+def scd2_as_of(history: DataFrame, moment: datetime) -> DataFrame:
     """Versions that were valid at one point in time."""
-    at = F.lit(moment).cast("timestamp")
+    at = instant(moment)
     return history.filter(
         (F.col("effective_from") <= at)
         & (F.col("effective_to").isNull() | (at < F.col("effective_to")))

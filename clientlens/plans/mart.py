@@ -47,6 +47,11 @@ def age_in_years(as_of: date, born: Column) -> Column:
     return F.floor(F.months_between(F.lit(as_of), born) / 12).cast("int")
 
 
+def _figures(aggregate: DataFrame, table: str) -> DataFrame:
+    """The aggregate without its load metadata."""
+    return aggregate.select([f.name for f in GOLD[table] if not f.name.startswith("_gold")])
+
+
 def mart_base(
     customers: DataFrame, holdings: DataFrame, activity: DataFrame, as_of: date
 ) -> DataFrame:
@@ -64,8 +69,8 @@ def mart_base(
         "province",
     )
     return (
-        identity.join(holdings, "customer_id", "left")
-        .join(activity, "customer_id", "left")
+        identity.join(_figures(holdings, "agg_customer_holdings"), "customer_id", "left")
+        .join(_figures(activity, "agg_customer_txn_12m"), "customer_id", "left")
         .fillna(_DEFAULTS)
         .withColumn("tenure_days", F.datediff(F.lit(as_of), "first_open_date"))
     )

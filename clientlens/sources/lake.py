@@ -22,6 +22,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from clientlens.functions.times import as_utc
 from clientlens.schemas import align_to_schema
 
 _LOG = (
@@ -38,6 +39,10 @@ _LOG = (
 _VERSION = "_version"
 
 
+def _next_version(commits: list[dict]) -> int:
+    return commits[-1]["version"] + 1 if commits else 1
+
+
 class LakeTable:
     """One table. ``partition_by`` names a column whose values become folders."""
 
@@ -55,46 +60,63 @@ class LakeTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def history(self) -> DataFrame:
-        """One row per commit: version, time, operation, batch and rows written."""
-        path, fs = self._hadoop_path("log")
-        if not fs.exists(path):
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).json(path.toString()).orderBy("version")
-
-    def _commits(self, version: int | None = None, as_of: datetime | None = None) -> list:
-        log = self.history()
+    def _commits(self, version: int | None = None, as_of: datetime | None = None) -> list[dict]:
+        """Log entries, oldest first. The newest log file holds the whole log."""
+        folder, fs = self._hadoop_path("log")
+        if not fs.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        complete = [name for name in names if name.endswith(".json")]
+        if not complete:
+            return []
+        path, _ = self._hadoop_path("log", max(complete))
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        commits = [
+            {**entry, "committed_at": datetime.fromisoformat(entry["committed_at"])}
+            for entry in json.loads(text)
+        ]
         if version is not None:
-            log = log.filter(F.col("version") <= version)
+            commits = [c for c in commits if c["version"] <= version]
         if as_of is not None:
-            log = log.filter(F.col("committed_at") <= as_of)
-        return log.collect()
+            commits = [c for c in commits if c["committed_at"] <= as_utc(as_of)]
+        return commits
+
+    def history(self) -> DataFrame:
+        """One row per commit: version, time, operation, batch and rows written."""
+        rows = [tuple(c[name] for name in _LOG.names) for c in self._commits()]
+        return self.spark.createDataFrame(rows, _LOG)
 
     def exists(self) -> bool:
         return bool(self._commits())
 
     def schema(self) -> StructType:
         """Current schema: the one of the latest commit, or the declared one."""
-        commits = self._commits()
-        return self._schema_of(commits) if commits else self.declared
+        return self._schema_of(self._commits())
 
-    @staticmethod
-    def _schema_of(commits: list) -> StructType:
+    def _schema_of(self, commits: list[dict]) -> StructType:
+        if not commits:
+            return self.declared
         return StructType.fromJson(json.loads(commits[-1]["table_schema"]))
 
-    def _commit(self, version: int, schema: StructType, **entry) -> None:
-        body = {
+    def _commit(self, commits: list[dict], schema: StructType, **entry) -> None:
+        version = _next_version(commits)
+        entry = {
             "version": version,
-            "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00"),
+            "committed_at": datetime.now(timezone.utc),
             "table_schema": schema.json(),
             **entry,
         }
+        log = [{**c, "committed_at": c["committed_at"].isoformat()} for c in [*commits, entry]]
         final, fs = self._hadoop_path("log", f"{version:010d}.json")
         if fs.exists(final):
             raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
-        draft, _ = self._hadoop_path("log", f".{version:010d}.draft")
+        draft, _ = self._hadoop_path("log", f"{version:010d}.draft")
         stream = fs.create(draft, True)
-        stream.write(bytearray(json.dumps(body).encode("utf-8")))
+        stream.write(bytearray(json.dumps(log).encode("utf-8")))
         stream.close()
         if not fs.rename(draft, final):
             raise RuntimeError(f"cannot commit version {version} of {self.path}")
@@ -102,7 +124,7 @@ class LakeTable:
     # --- reading ------------------------------------------------------------------------------
 
     @staticmethod
-    def _live(commits: list) -> dict[int, set[str]]:
+    def _live(commits: list[dict]) -> dict[int, set[str]]:
         """Versions whose rows are visible, with the partitions that later commits replaced."""
         live: dict[int, set[str]] = {}
         appended: dict[str, int] = {}
@@ -131,7 +153,7 @@ class LakeTable:
         ``batch_id`` restricts the read to the folders of one batch.
         """
         commits = self._commits(version, as_of)
-        schema = self._schema_of(commits) if commits else self.declared
+        schema = self._schema_of(commits)
         live = self._live(commits)
         if batch_id is not None:
             wanted = {c["version"] for c in commits if c["batch_id"] == batch_id}
@@ -170,9 +192,8 @@ class LakeTable:
         if mode not in ("replace", "append", "replace_partitions"):
             raise ValueError(f"unknown mode {mode}")
         commits = self._commits()
-        schema = self._schema_of(commits) if commits else self.declared
-        version = commits[-1]["version"] + 1 if commits else 1
-        target = f"{self.path}/data/{_VERSION}={version}"
+        schema = self._schema_of(commits)
+        target = f"{self.path}/data/{_VERSION}={_next_version(commits)}"
 
         rows = align_to_schema(df, schema)
         if rebalance:
@@ -184,7 +205,7 @@ class LakeTable:
         written = self.spark.read.schema(schema).parquet(target).count()
 
         self._commit(
-            version,
+            commits,
             schema,
             operation=operation,
             mode=mode,
@@ -199,16 +220,15 @@ class LakeTable:
 
         Rows written before read NULL in the new columns, and earlier versions keep their schema.
         """
-        schema = self.schema()
+        commits = self._commits()
+        schema = self._schema_of(commits)
         known = {n.lower() for n in schema.names}
         new = [(name, kind) for name, kind in columns if name.lower() not in known]
         if new:
             for name, kind in new:
                 schema = schema.add(name, kind.lower())
-            commits = self._commits()
-            version = commits[-1]["version"] + 1 if commits else 1
             self._commit(
-                version,
+                commits,
                 schema,
                 operation="add columns",
                 mode="schema",

@@ -23,8 +23,11 @@ def ingest_files(
     """
 
     def append(batch: DataFrame, epoch: int) -> None:
-        stamped = with_ingest_meta(batch, datetime.now(timezone.utc), source, f"stream-{epoch}")
-        target.publish(stamped, "append", "stream", f"stream-{epoch}")
+        # The query id lives in the checkpoint: another stream never has the same one.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_id = f"stream-{query_id}-{epoch}"
+        stamped = with_ingest_meta(batch, datetime.now(timezone.utc), source, batch_id)
+        target.publish(stamped, "append", "stream", batch_id)
 
     arriving = target.spark.readStream.schema(file_schema).parquet(folder)
     return (
