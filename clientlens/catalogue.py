@@ -6,6 +6,7 @@ there are small, so the cross-sell thresholds are set to match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property
@@ -30,8 +31,9 @@ from clientlens.plans import (
     slices,
     trends,
 )
-from clientlens.schemas import BRONZE, SILVER, align_to_schema
-from clientlens.sources.scratch import materialise
+from clientlens.schemas import BRONZE, GOLD, SILVER, align_to_schema
+from clientlens.sources.lake import LakeTable
+from clientlens.sources.scratch import materialise, scratch_root
 
 AS_OF = date(2000, 6, 30)
 PREVIOUS = date(2000, 5, 31)
@@ -148,6 +150,16 @@ class Bank:
         both = self.build_mart(PREVIOUS).unionByName(self.build_mart(AS_OF))
         return materialise(both, "mart")
 
+    @cached_property
+    def stored_mart(self) -> LakeTable:
+        """The two snapshots as two versions of a stored table."""
+        path = f"{scratch_root(self.spark)}/mart-{uuid.uuid4().hex}"
+        table = LakeTable(self.spark, path, GOLD["mart_customer_360"], "snapshot_date")
+        for day in (PREVIOUS, AS_OF):
+            rows = self.snapshots.filter(F.col("snapshot_date") == day)
+            table.publish(rows, "replace_partitions", "overwrite", replaced=[day])
+        return table
+
     @cached_property
     def snapshot(self) -> DataFrame:
         return slices.mart_slice(self.snapshots)
@@ -369,8 +381,12 @@ def agg_txn_12m(bank: Bank) -> DataFrame:
 @query
 def agg_txn_auto(bank: Bank) -> DataFrame:
     """Default settings: 12 months up to the latest transaction."""
-    as_of = activity.latest_transaction_date(bank.bank_facts, bank.card_facts)
-    return bank.activity(as_of, GoldSettings())
+    bank_facts = materialise(bank.bank_facts, "bank-facts")
+    card_facts = materialise(bank.card_facts, "card-facts")
+    as_of = activity.latest_transaction_date(bank_facts, card_facts)
+    return activity.customer_activity(
+        bank_facts, card_facts, bank.accounts, bank.cards, as_of, GoldSettings()
+    )
 
 
 @query
@@ -478,6 +494,16 @@ def pii_masked_by_snapshot(bank: Bank) -> DataFrame:
     return checks.masked_by_snapshot(_leaky_mart(bank))
 
 
+@query
+def snapshot_history(bank: Bank) -> DataFrame:
+    return bank.stored_mart.history().select("version", "operation", "rows")
+
+
+@query
+def snapshot_at_version(bank: Bank) -> DataFrame:
+    return bank.stored_mart.read(version=1).select(*mart.MART_COLUMNS)
+
+
 @query
 def snapshot_diff(bank: Bank) -> DataFrame:
     old = bank.snapshots.filter(F.col("snapshot_date") == PREVIOUS)

@@ -177,9 +177,9 @@ def scd2_history(history: DataFrame, key: str, value: str) -> DataFrame:
 def fact_new_rows(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Delivered rows whose key is not stored yet.
 
-    The stored side is by far the larger one. It is reduced to the delivered keys first, as a
-    semi join that Spark can prune with a runtime filter built from the delivery, so only
-    candidate keys of the stored table are shuffled.
+    The stored side is by far the larger one. Only its key column is read, and a semi join
+    reduces it to the delivered keys, which needs no shuffle of it while a delivery is small
+    enough for Spark to broadcast its keys.
     """
     seen = stored.select(key).join(incoming.select(key), key, "left_semi")
     return incoming.join(seen, key, "left_anti")

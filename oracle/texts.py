@@ -131,6 +131,10 @@ _BODIES["pii_sample"] = """
 _BODIES["pii_masked_by_snapshot"] = """
     SELECT snapshot_date, count(*) AS n, count(*) FILTER (WHERE ends_with(full_name, ' ****')) AS masked
     FROM leaky GROUP BY snapshot_date"""
+_BODIES["snapshot_history"] = """
+    SELECT CAST(row_number() OVER (ORDER BY snapshot_date) AS INT) AS version, 'overwrite' AS operation,
+           count(*) AS rows FROM mart GROUP BY snapshot_date"""
+_BODIES["snapshot_at_version"] = "SELECT * FROM mart_old"
 _BODIES["snapshot_diff"] = """
     SELECT customer_id, o.rfm_segment AS old_rfm_segment, o.txn_count_12m AS old_txn_count_12m,
            o.top_spend_category AS old_top_spend_category, n.rfm_segment AS new_rfm_segment,
