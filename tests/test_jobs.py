@@ -296,3 +296,24 @@ def test_unknown_table_needs_a_key():
         source_tables_from_mapping(raw)
     raw["sources"]["s"]["tables"][0]["key"] = "id"
     assert source_tables_from_mapping(raw) == [SourceTable("s", "x", "s_x", "id", "updated_at")]
+
+
+def test_command_line_jobs(spark, loaded, tmp_path, capsys):
+    from clientlens import cli
+
+    settings = tmp_path / "gold.yaml"
+    settings.write_text("lookback_months: 6\n", encoding="utf-8")
+
+    def run(job, *options):
+        args = cli.parse([job, "--lake", loaded.root, "--batch", "x", *options])
+        cli._JOBS[job](loaded, args)
+        return capsys.readouterr().out
+
+    assert "'mart_customer_360': 4" in run("gold", "--config", str(settings))
+    report = run("verify", "--customer", "C001")
+    assert "Mai ****" in report and "PATH_NOT_FOUND" not in report
+    assert "2024-10-31" in run("export", "--out", str(tmp_path / "out"))
+    assert run("remask").strip() == "0"
+    assert "mart_customer_360 4" in run("compact")
+    with pytest.raises(SystemExit):
+        cli.parse(["ingest", "--lake", loaded.root])
