@@ -34,7 +34,6 @@ _LOG = (
     .add("batch_id", StringType())
     .add("replaced", ArrayType(StringType()))
     .add("rows", LongType())
-    .add("table_schema", StringType())
 )
 _VERSION = "_version"
 
@@ -98,16 +97,19 @@ class LakeTable:
         return self._schema_of(self._commits())
 
     def _schema_of(self, commits: list[dict]) -> StructType:
-        if not commits:
-            return self.declared
-        return StructType.fromJson(json.loads(commits[-1]["table_schema"]))
+        """Schema after the given commits; only commits that changed it carry it."""
+        for commit in reversed(commits):
+            if commit["table_schema"] is not None:
+                return StructType.fromJson(commit["table_schema"])
+        return self.declared
 
     def _commit(self, commits: list[dict], schema: StructType, **entry) -> None:
         version = _next_version(commits)
+        changed = not commits or schema != self._schema_of(commits)
         entry = {
             "version": version,
             "committed_at": datetime.now(timezone.utc),
-            "table_schema": schema.json(),
+            "table_schema": schema.jsonValue() if changed else None,
             **entry,
         }
         log = [{**c, "committed_at": c["committed_at"].isoformat()} for c in [*commits, entry]]
@@ -150,7 +152,8 @@ class LakeTable:
     ) -> DataFrame:
         """Rows of the table now, at a version, or at a point in time, with the schema it had then.
 
-        ``batch_id`` restricts the read to the folders of one batch.
+        ``batch_id`` restricts the read to the folders of one batch, as long as they have not
+        been folded into another version by a compaction or a full load.
         """
         commits = self._commits(version, as_of)
         schema = self._schema_of(commits)
@@ -158,6 +161,8 @@ class LakeTable:
         if batch_id is not None:
             wanted = {c["version"] for c in commits if c["batch_id"] == batch_id}
             live = {v: hidden for v, hidden in live.items() if v in wanted}
+            if not live:
+                raise ValueError(f"{self.path} has no separate batch {batch_id}")
         if not live:
             return align_to_schema(self.spark.sql("SELECT 1 AS x WHERE false"), schema)
         rows = (

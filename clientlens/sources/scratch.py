@@ -13,10 +13,13 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate results, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none, as in local tests, a temporary folder is set.
+    Only a local master that names none, as in tests, gets a temporary folder; on a cluster
+    such a folder would not be shared.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clientlens-")
         spark.conf.set(_SETTING, root)
     return root.rstrip("/")

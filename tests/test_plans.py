@@ -135,6 +135,42 @@ def test_facts_are_scanned_once_and_reduced_before_the_join(spark):
     assert plan.index("partial_bit_or") < plan.index("lineitem.parquet") and join >= 0
 
 
+def test_partitions_of_a_hot_account_are_split(spark):
+    hot = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in hot}
+    facts = (
+        spark.range(0, 30000, 1, 8)
+        .selectExpr(
+            "concat('A', CASE WHEN id % 3 = 0 THEN 0 ELSE id % 500 END) AS account_id",
+            "date_add(DATE '2024-01-01', CAST(id % 90 AS INT)) AS txn_date",
+            "CAST(id % 100 AS DOUBLE) AS amount",
+            "'POS' AS channel",
+            "'COMPLETED' AS status",
+            "'X' AS merchant_category",
+        )
+    )
+    accounts = spark.range(500).selectExpr("concat('A', id) AS account_id", "concat('C', id % 50) AS customer_id")
+    customers = spark.range(50).selectExpr("concat('C', id) AS customer_id", "'MASS' AS customer_segment", "true AS is_current")
+    try:
+        for k, v in hot.items():
+            spark.conf.set(k, v)
+        days = trends.customer_days(facts, facts, accounts, accounts, customers)
+        trend = trends.daily_trend(days)
+        rows = trend.collect()
+        plan = _plan(trend)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["txn_count"] for r in rows) == 60000
+    assert "skew=true" in plan
+
+
 def test_window_filter_prunes_fact_partitions(spark, tmp_path):
     facts = _frame(
         spark,
