@@ -52,8 +52,9 @@ def with_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 
 def _banded(value: Column, upper_bounds: list[tuple[float, str]], last: str) -> Column:
-    band = F
-    for bound, label in upper_bounds:
+    (bound, label), *rest = upper_bounds
+    band = F.when(value < bound, label)
+    for bound, label in rest:
         band = band.when(value < bound, label)
     return band.otherwise(last)
 
