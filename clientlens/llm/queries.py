@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import minhash, packing, token_files
 from .common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer, end_id=2, with_ids=False).drop("ids")
+
+
+@query
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
