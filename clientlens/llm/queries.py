@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, minhash, packing, token_files
+from . import chat, decontaminate, lines, minhash, packing, token_files
 from .common import materialise, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ ORACLE["op5_line_dedup"] = """
            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (common.k IS NULL), '')) AS kept_sha256
     FROM keyed LEFT JOIN common ON keyed.k = common.k GROUP BY doc_id
 """
+
+
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
