@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lines, minhash, packing, token_files
-from .common import materialise, ship_package, table
+from . import chat, decontaminate, languages, lines, minhash, packing, token_files, toxicity
+from .common import crc_of_id, materialise, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -99,3 +99,21 @@ ORACLE["op5_line_dedup"] = """
 @query
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = crc_of_id("doc_id", 5) == 0
+    model = toxicity.learn(docs.filter(~held_out), table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = crc_of_id("doc_id", 4) == 2
+    net = languages.learn(docs.filter(~held_out))
+    found = languages.predict(docs, net)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
