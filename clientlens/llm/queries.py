@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, languages, lines, minhash, packing, token_files, toxicity
+from . import chat, decontaminate, languages, lines, minhash, packing, pages, token_files, toxicity, vectors
 from .common import crc_of_id, materialise, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,13 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     net = languages.learn(docs.filter(~held_out))
     found = languages.predict(docs, net)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_texts(table(spark, folder, "pages"))
+
+
+@query
+def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), threshold=0.98)
