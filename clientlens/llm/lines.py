@@ -83,20 +83,25 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, ke
 
 
 def kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The documents with ``kept``, the array of lines that stay, ``n_lines`` and ``n_dropped``."""
-    own = bitmaps.select(F.col("doc_id").alias("_id"), F.col("of_text").alias("_of"), F.col("n_dropped").alias("_gone"), F.col("keep").alias("_keep"))
-    rows = docs.withColumn("_hash", _text_hash())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
+    """For each document ``row``, a struct of all its columns, with ``n_lines``, ``n_dropped`` and
+    ``kept``, the array of lines that stay."""
+    own = bitmaps.select(F.col("doc_id").alias("of_id"), "of_text", F.col("n_dropped").alias("gone"), "keep")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.col("text").cast("string").alias("text"), _text_hash().alias("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_text"))
     lines = lines_of(F.col("text"))
-    stays = F.filter(lines, lambda _, i: F.coalesce(F.get("_keep", F.floor(i / WORD).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i % WORD)) != 0, F.lit(True)))
-    return (
-        rows.join(own, same, "left")
-        .withColumns({"n_lines": F.size(lines).cast("long"), "n_dropped": F.coalesce("_gone", F.lit(0).cast("long")), "kept": F.when(F.col("_keep").isNull(), lines).otherwise(stays)})
-        .drop("_id", "_of", "_gone", "_keep", "_hash")
+    word = lambda i: F.get("keep", F.floor(i / WORD).cast("int"))
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i % WORD)
+    stays = F.filter(lines, lambda _, i: F.coalesce(word(i).bitwiseAND(bit(i)) != 0, F.lit(True)))
+    return rows.join(own, same, "left").select(
+        "row",
+        F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce("gone", F.lit(0).cast("long")).alias("n_dropped"),
+        F.when(F.col("keep").isNull(), lines).otherwise(stays).alias("kept"),
     )
 
 
 def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) -> DataFrame:
     """The documents with the text of the lines that stay, joined by a line break."""
     kept = kept_lines(docs, keep_bitmaps(docs, least_docs, least_chars))
-    return kept.withColumn("text", F.when(F.col("text").isNotNull(), F.array_join("kept", "\n"))).select(docs.columns)
+    text = F.when(F.col("row.text").isNotNull(), F.array_join("kept", "\n")).alias("text")
+    return kept.select(*(text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

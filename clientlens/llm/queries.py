@@ -78,7 +78,7 @@ ORACLE["op3_chat_format"] = rf"""
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     kept = lines.kept_lines(docs, lines.keep_bitmaps(docs, least_docs=10, least_chars=1))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"))
 
 
 ORACLE["op5_line_dedup"] = """
