@@ -12,7 +12,10 @@ threshold misses with a probability of ``MISS`` at most. Pairs are found, counte
    smallest one, so copies of a text make as many pairs as there are copies, not their square.
    After the components of the confirmed pairs are known, lists inside one component are skipped;
    in the others only pairs between components are made, from the members outside the list's
-   largest component. So every pair that may be the only link between two components is looked at.
+   largest component. So every pair that may be the only link between two components is looked at,
+   but for those that :func:`most_in_common` rules out: shingles that no other document in an open
+   list has can't be in an intersection, nor those of a common centre that one of the two lacks,
+   and the rest may be too small for the threshold.
 4. Pairs that agree in fewer coordinates than the threshold on the whole signatures are dropped;
    the rest is confirmed on full shingle sets, made again from the texts.
 
@@ -27,12 +30,12 @@ with several texts, and linked by any of them. No rows give no rows; further col
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, in_slices, materialise, strings
@@ -43,6 +46,9 @@ COORDINATES = 32
 ROWS = 3
 MISS = 1e-9
 MEMBERS_A_GROUP = 256
+#: Bits for the shingles of a centre that a member lacks.
+BITS = 256
+FACTS = ("size", "room", "shared", "centre", "whole", "common", "lacks")
 SKETCH = "doc_id long, n_shingles long, print binary, coordinates array<long>"
 
 
@@ -98,29 +104,31 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return materialise(documents(docs).mapInArrow(sketch, SKETCH), "sketches")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (``a`` pivot, ``b`` member) whose full shingle sets are similar enough.
+def _beside(pairs: DataFrame, texts: DataFrame, width: int, each: Callable, names: list[str]) -> DataFrame:
+    """``each(a, sets of a, b, set of b)`` for all pairs; gives arrays of the columns ``names``.
 
-    ``texts`` has the different texts of each id in ``pairs``: ``rep``, ``text``.
+    ``texts`` has the different texts of each id in ``pairs``: ``rep``, ``text``. A pivot ``a`` is
+    read once for each salted group of its members ``b``, before them.
     """
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, pivots = None, []
         for batch in batches:
             texts = strings(batch)
             keys = list(zip(batch.column("a").to_pylist(), batch.column("salt").to_pylist()))
             members = batch.column("b").to_pylist()
             for low, high in in_slices(texts, 1 << 20):
-                links = []
+                found = []
                 for i, own in enumerate(shingle_sets(texts.slice(low, high - low), width), low):
                     if group != keys[i]:
                         group, pivots = keys[i], []
                     if members[i] is None:
                         pivots.append(own)
-                    elif any(similar(pivot, own, percent) for pivot in pivots):
-                        links.append((keys[i][0], members[i]))
-                if links:
-                    yield pa.record_batch([np.array(x, np.int64) for x in zip(*links)], names=["a", "b"])
+                    else:
+                        found.append(each(keys[i][0], pivots, members[i], own))
+                columns = [np.concatenate(c).astype(np.int64) for c in zip(*found)]
+                if columns and len(columns[0]):
+                    yield pa.record_batch(columns, names=names)
 
     groups = pairs.groupBy("a").agg(F.ceil(F.count("b") / MEMBERS_A_GROUP).alias("groups"))
     salted = pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), "groups").alias("salt"))
@@ -129,7 +137,82 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     rows = members.unionByName(pivots.select("a", "salt", F.lit(None).cast("long").alias("b"), "text"))
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return ordered.mapInArrow(confirm, "a long, b long")
+    return ordered.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (``a`` pivot, ``b`` member) whose full shingle sets are similar enough."""
+
+    def each(a: int, pivots: list[np.ndarray], b: int, own: np.ndarray) -> tuple[list[int], list[int]]:
+        same = any(similar(pivot, own, percent) for pivot in pivots)
+        return ([a], [b]) if same else ([], [])
+
+    return _beside(pairs, texts, width, each, ["a", "b"])
+
+
+def overlaps(members: DataFrame, tried: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """What is known of the ``members`` of open lists without comparing them with each other:
+
+    * ``alone``: how many of its shingles no other member has. A member whose star's centre is known
+      lists only the shingles that its centre hasn't got, and centres list all of theirs, so each
+      shingle of a member is listed by it or by its centre. What is listed once is one document's
+      own. Centres count none, as their members don't list what they share with them.
+    * ``centre``, ``whole``, ``common``: its centre, the size of the centre's set, and how much of it
+      the member has; NULL for centres, and for documents of several texts.
+    * ``lacks``: ``BITS`` bits of the centre's shingles that it hasn't got, by their hash.
+    """
+    starred = tried.join(members.withColumnRenamed("rep", "b"), "b", "left_semi").groupBy("b").agg(F.min("a").alias("a"))
+    centres = starred.select(F.col("a").alias("rep")).distinct()
+    leaves = materialise(starred.join(centres.withColumnRenamed("rep", "b"), "b", "left_anti").select("a", "b"), "leaves")
+    words = [f"w{i}" for i in range(BITS // 64)]
+
+    def each(a: int, pivots: list[np.ndarray], b: int, own: np.ndarray) -> list[np.ndarray]:
+        added = own
+        for pivot in pivots:
+            added = np.setdiff1d(added, pivot, assume_unique=True)
+        rows = np.zeros((len(added) + 1, 5 + len(words)), np.int64)
+        rows[:, 0] = b
+        rows[:-1, 2] = added.view(np.int64)
+        lacking = np.setdiff1d(pivots[0], own, assume_unique=True)
+        bits = np.zeros(BITS, bool)
+        bits[(lacking % np.uint64(BITS)).astype(np.int64)] = True
+        rows[-1, 1:5] = 1, a if len(pivots) == 1 else -1, len(pivots[0]), len(pivots[0]) - len(lacking)
+        rows[-1, 5:] = np.packbits(bits, bitorder="little").view("<i8")
+        return list(rows.T)
+
+    def list_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reps, rows = batch.column("rep").to_numpy(), strings(batch)
+            for low, high in in_slices(rows, 1 << 20):
+                sets = list(shingle_sets(rows.slice(low, high - low), width))
+                owner = np.repeat(reps[low:high], [len(s) for s in sets])
+                yield pa.record_batch([owner, np.concatenate(sets).view(np.int64)], names=["rep", "shingle"])
+
+    beside = materialise(_beside(leaves, texts, width, each, ["rep", "kind", "first", "whole", "common", *words]), "beside")
+    whole = members.union(centres).distinct().join(leaves.select(F.col("b").alias("rep")), "rep", "left_anti")
+    listed = texts.join(whole, "rep").select("rep", "text").mapInArrow(list_all, "rep long, shingle long")
+    listed = listed.union(beside.filter("kind = 0").select("rep", "first"))
+    own = listed.groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last")
+    alone = own.groupBy("rep").agg(F.count(F.lit(1)).alias("alone")).join(centres, "rep", "left_anti")
+    facts = beside.filter("kind = 1").groupBy("rep").agg(
+        F.count(F.lit(1)).alias("texts"), F.max("first").alias("centre"), F.max("whole").alias("whole"), F.max("common").alias("common"), F.array(*(F.max(w) for w in words)).alias("lacks")
+    )
+    single = (F.col("texts") == 1) & (F.col("centre") >= 0)
+    facts = facts.select("rep", *(F.when(single, F.col(c)).alias(c) for c in ("centre", "whole", "common", "lacks")))
+    return members.join(alone, "rep", "left").join(facts, "rep", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+
+
+def most_in_common(x: str, y: str) -> Column:
+    """No intersection of the members ``x`` and ``y`` (prefixes of columns) is larger. Of shingles of
+    the same centre, they share at most those that neither lacks; of others, those that are not
+    one's own."""
+    c = lambda name: (F.col(x + name), F.col(y + name))
+    lacks = F.zip_with(*c("lacks"), lambda a, b: F.bit_count(a.bitwiseOR(b)))
+    lacking = F.aggregate(lacks, F.lit(0), lambda a, b: a + b)
+    whole = F.col(x + "whole")
+    of_centre = whole - F.greatest(lacking.cast("long"), whole - F.least(*c("common")))
+    same = F.when(F.col(x + "centre") == F.col(y + "centre"), of_centre + F.least(*c("shared")))
+    return F.least(*c("room"), same)
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
@@ -151,7 +234,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = (
         sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), F.min_by("coordinates", "doc_id").alias("coordinates"))
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.min("n_shingles").alias("n_shingles"),
+            F.min_by("coordinates", "doc_id").alias("coordinates"),
+        )
     )
     classes = materialise(classes, "classes")
     prefix = F.slice("coordinates", 1, COORDINATES - least + 1)
@@ -159,14 +246,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = posted.groupBy("value").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     posted = materialise(posted.join(shared.select("value", "a"), "value"), "posted")
 
-    def linked(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = materialise(_agreeing(pairs, classes, least), "pairs")
-        needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-        texts = documents(docs).withColumnRenamed("doc_id", "rep").join(needed, "rep", "left_semi")
-        texts = texts.withColumn("key", F.xxhash64("text")).dropDuplicates(["rep", "key"]).drop("key")
-        return pairs, materialise(confirmed(pairs, materialise(texts, "texts"), width, percent), "linked")
+    # The texts of all documents that share a coordinate with another one, once.
+    texts = documents(docs).withColumnRenamed("doc_id", "rep").join(posted.select("rep").distinct(), "rep", "left_semi")
+    texts = materialise(texts.withColumn("key", F.xxhash64("text")).dropDuplicates(["rep", "key"]).drop("key"), "texts")
 
-    tried, links = linked(posted.filter("a <> rep").select("a", F.col("rep").alias("b")).distinct())
+    tried = posted.filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    tried = materialise(_agreeing(tried, classes, least), "pairs")
+    links = materialise(confirmed(tried, texts, width, percent), "linked")
     roots = components(links)
     placed = posted.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "value", "rep", F.coalesce("root", "rep").alias("root")
@@ -174,15 +260,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sizes = placed.groupBy("value", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
     open_lists = materialise(placed.join(largest.filter("roots > 1"), "value").drop("roots"), "open")
-    outside = open_lists.filter("root <> main").select("value", F.col("rep").alias("x"), F.col("root").alias("root_x"))
+    members = materialise(open_lists.select("rep").distinct(), "members")
+    sizes = classes.groupBy("rep").agg(F.max("n_shingles").alias("size"), F.min("n_shingles").alias("least"))
+    single = F.col("size") == F.col("least")
+    facts = (
+        overlaps(members, tried, texts, width)
+        .join(sizes, "rep")
+        # What a document can have in common with another one at most.
+        .withColumn("room", F.when(single, F.col("size") - F.col("alone")).otherwise(F.col("size")))
+        .withColumn("shared", F.col("room") - F.col("common"))
+        .withColumn("centre", F.when(single, F.col("centre")))
+        .filter(F.col("room") * 100 >= F.col("size") * percent)
+        .select("rep", *FACTS)
+    )
+    open_lists = materialise(open_lists.join(materialise(facts, "facts"), "rep"), "open")
+    outside = open_lists.filter("root <> main").select("value", *(F.col(c).alias(f"x_{c}") for c in ("rep", "root", *FACTS)))
+    both = most_in_common("x_", "")
     across = (
         outside.join(open_lists, "value")
-        .filter("root <> root_x AND (root = main OR x < rep)")
-        .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
+        .filter("root <> x_root AND (root = main OR x_rep < rep)")
+        .filter(both * 100 >= (F.col("size") + F.col("x_size") - both) * percent)
+        .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    _, more = linked(across)
+    across = materialise(_agreeing(across, classes, least), "pairs")
+    more = materialise(confirmed(across, texts, width, percent), "linked")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     by_print = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -199,3 +302,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             F.coalesce(F.col("doc_id") == found, F.lit(True)).alias("kept"),
         )
     )
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest id, and of several rows
+    with that id the one whose text has the smallest hash. Rows without id all stay."""
+    kept = near_duplicates(docs, width, percent).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    rows = docs.select("doc_id", F.struct("*").alias("row"), F.xxhash64("text").alias("hash")).join(kept, "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("hash", F.col("row.text"))
+    found = rows.withColumn("nth", F.row_number().over(first)).filter("nth = 1").select("row.*")
+    return found.unionByName(docs.filter("doc_id IS NULL"))
