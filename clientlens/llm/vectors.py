@@ -174,7 +174,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("root", "vec_id"))
     return rows.join(by_class, ["label", "vector"], "left").select(
         "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("vec_id").isNotNull() & F.col("n_links").isNotNull(), F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
