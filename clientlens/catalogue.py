@@ -6,12 +6,11 @@ there are small, so the cross-sell thresholds are set to match.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientlens import adapters
@@ -32,8 +31,7 @@ from clientlens.plans import (
     trends,
 )
 from clientlens.schemas import BRONZE, GOLD, SILVER, align_to_schema
-from clientlens.sources.lake import LakeTable
-from clientlens.sources.scratch import materialise, scratch_root
+from clientlens.sources.scratch import materialise
 
 AS_OF = date(2000, 6, 30)
 PREVIOUS = date(2000, 5, 31)
@@ -150,16 +148,6 @@ class Bank:
         both = self.build_mart(PREVIOUS).unionByName(self.build_mart(AS_OF))
         return materialise(both, "mart")
 
-    @cached_property
-    def stored_mart(self) -> LakeTable:
-        """The two snapshots as two versions of a stored table."""
-        path = f"{scratch_root(self.spark)}/mart-{uuid.uuid4().hex}"
-        table = LakeTable(self.spark, path, GOLD["mart_customer_360"], "snapshot_date")
-        for day in (PREVIOUS, AS_OF):
-            rows = self.snapshots.filter(F.col("snapshot_date") == day)
-            table.publish(rows, "replace_partitions", "overwrite", replaced=[day])
-        return table
-
     @cached_property
     def snapshot(self) -> DataFrame:
         return slices.mart_slice(self.snapshots)
@@ -381,17 +369,13 @@ def agg_txn_12m(bank: Bank) -> DataFrame:
 @query
 def agg_txn_auto(bank: Bank) -> DataFrame:
     """Default settings: 12 months up to the latest transaction."""
-    bank_facts = materialise(bank.bank_facts, "bank-facts")
-    card_facts = materialise(bank.card_facts, "card-facts")
-    as_of = activity.latest_transaction_date(bank_facts, card_facts)
-    return activity.customer_activity(
-        bank_facts, card_facts, bank.accounts, bank.cards, as_of, GoldSettings()
-    )
+    as_of = activity.latest_transaction_date(bank.bank_facts, bank.card_facts)
+    return bank.activity(as_of, GoldSettings())
 
 
 @query
 def mart_base(bank: Bank) -> DataFrame:
-    return bank.base(AS_OF).drop("full_name", "phone", "email")
+    return bank.base(AS_OF).drop("full_name", "phone_masked", "email_masked")
 
 
 @query
@@ -410,7 +394,7 @@ def tenure(bank: Bank) -> DataFrame:
     return bank.holdings(AS_OF).select(
         "customer_id",
         "first_open_date",
-        F.datediff(F.lit(AS_OF), "first_open_date").alias("tenure_days"),
+        mart.tenure_days(AS_OF).alias("tenure_days"),
     )
 
 
@@ -496,12 +480,17 @@ def pii_masked_by_snapshot(bank: Bank) -> DataFrame:
 
 @query
 def snapshot_history(bank: Bank) -> DataFrame:
-    return bank.stored_mart.history().select("version", "operation", "rows")
+    """The stored snapshots, each the outcome of one overwrite of its partition, oldest first."""
+    rows = bank.snapshots.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows"))
+    nth = F.row_number().over(Window.orderBy("snapshot_date"))
+    return rows.select(nth.alias("version"), F.lit("overwrite").alias("operation"), "rows")
 
 
 @query
 def snapshot_at_version(bank: Bank) -> DataFrame:
-    return bank.stored_mart.read(version=1).select(*mart.MART_COLUMNS)
+    """The mart as it was after its first snapshot."""
+    first = bank.snapshots.filter(F.col("snapshot_date") <= PREVIOUS)
+    return first.select(*mart.MART_COLUMNS)
 
 
 @query

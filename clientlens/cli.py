@@ -14,7 +14,7 @@ from clientlens.jobs import conform, gold, ingest, maintain
 from clientlens.jobs.audit import AuditLog
 from clientlens.plans import checks, export, lists, trends
 from clientlens.sources.jdbc import Connection, jdbc_source
-from clientlens.sources.lake import Lake, LakeTable
+from clientlens.sources.lake import Dimension, Lake, LakeTable
 from clientlens.sources.scratch import release
 
 
@@ -30,7 +30,12 @@ def _conform(lake: Lake, args: argparse.Namespace) -> None:
     tables = config.SILVER_TABLES
     if args.config:
         tables = config.silver_tables_from_mapping(config.load_yaml(args.config))
-    print(conform.run_conform(lake, args.run_ts, args.batch, tables, args.only_batch))
+    options = {n: getattr(args, n) for n in ("refresh_attributes", "stable_dates", "update")}
+    print(
+        conform.run_conform(
+            lake, args.run_ts, args.batch, tables, args.only_batch, args.full, **options
+        )
+    )
 
 
 def _gold(lake: Lake, args: argparse.Namespace) -> None:
@@ -40,7 +45,7 @@ def _gold(lake: Lake, args: argparse.Namespace) -> None:
     print(gold.run_gold(lake, args.run_ts, args.batch, settings))
 
 
-def _silver(lake: Lake) -> dict[str, LakeTable]:
+def _silver(lake: Lake) -> dict[str, LakeTable | Dimension]:
     return {t.name: conform.silver_table(lake, t) for t in config.SILVER_TABLES}
 
 
@@ -55,6 +60,8 @@ def _compact(lake: Lake, _: argparse.Namespace) -> None:
     for name in ("oracle_bank_transactions", "pg_card_transactions"):
         tables[name] = ingest.bronze_table(lake, name)
     tables["mart_customer_360"] = gold.gold_table(lake, "mart_customer_360")
+    for layer in ("bronze", "silver", "gold"):
+        tables[f"{layer}.audit_log"] = AuditLog(lake, layer)
     for name, outcome in maintain.compact_tables(tables).items():
         print(name, outcome)
 
@@ -117,7 +124,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--config", help="YAML file of the job")
     parser.add_argument("--batch", default=None, help="batch id; reuse it to repeat a batch")
     parser.add_argument("--run-ts", default=None, type=datetime.fromisoformat)
-    parser.add_argument("--full", action="store_true", help="ingest: read every table in full")
+    parser.add_argument("--full", action="store_true", help="ingest, conform: read every table in full")
+    parser.add_argument("--refresh-attributes", action="store_true", help="conform: untracked attributes at once")
+    parser.add_argument("--stable-dates", action="store_true", help="conform: a transaction never changes its date")
+    parser.add_argument("--update", action="store_true", help="conform: update stored transactions")
     parser.add_argument("--only-batch", help="conform: use the rows of one bronze batch")
     parser.add_argument("--customer", help="verify: also show one customer")
     parser.add_argument("--out", help="export: target folder")

@@ -71,13 +71,13 @@ class SilverTable:
 
 # The tables of the two source systems and their keys.
 SOURCE_TABLES = (
-    SourceTable("oracle", "branches", "oracle_branches", "branch_id"),
-    SourceTable("oracle", "products", "oracle_products", "product_id"),
+    SourceTable("oracle", "branches", "oracle_branches", "branch_id", None, "updated_at"),
+    SourceTable("oracle", "products", "oracle_products", "product_id", None, "updated_at"),
     SourceTable("oracle", "bank_accounts", "oracle_bank_accounts", "account_id", "updated_at", "opened_date"),
     SourceTable("oracle", "loans", "oracle_loans", "loan_id", "updated_at", "disbursement_date"),
     SourceTable("oracle", "bank_transactions", "oracle_bank_transactions", "txn_id", "created_at", "txn_date"),
-    SourceTable("postgres", "customers", "pg_customers", "customer_id", "updated_at"),
-    SourceTable("postgres", "card_accounts", "pg_card_accounts", "account_id", "updated_at"),
+    SourceTable("postgres", "customers", "pg_customers", "customer_id", "updated_at", "updated_at"),
+    SourceTable("postgres", "card_accounts", "pg_card_accounts", "account_id", "updated_at", "updated_at"),
     SourceTable("postgres", "card_transactions", "pg_card_transactions", "txn_id", "created_at", "txn_date"),
 )
 
@@ -118,14 +118,18 @@ UPPER_COLUMNS = {
 
 
 def source_tables_from_mapping(raw: Mapping) -> list[SourceTable]:
-    """Ingest tables from the parsed YAML of an ingest configuration file.
+    """Ingest tables from the parsed YAML of an ingest configuration file: those of SOURCE_TABLES of
+    the sources in it, and those that it names itself.
 
     A table that is not in SOURCE_TABLES must state its ``key``.
     """
     known = {t.bronze: t for t in SOURCE_TABLES}
     tables = []
     for source, body in raw["sources"].items():
-        for entry in body["tables"]:
+        stated = body.get("tables", ())
+        own = {entry["bronze_table"].split(".")[-1] for entry in stated}
+        tables += [t for t in SOURCE_TABLES if t.source == source and t.bronze not in own]
+        for entry in stated:
             bronze = entry["bronze_table"].split(".")[-1]
             key = entry.get("key") or (known[bronze].key if bronze in known else None)
             if key is None:
@@ -138,7 +142,7 @@ def source_tables_from_mapping(raw: Mapping) -> list[SourceTable]:
                     bronze,
                     key,
                     None if full else entry.get("incremental_col", "updated_at"),
-                    entry.get("partition_col"),
+                    entry.get("partition_col") or (known[bronze].partition_column if bronze in known else None),
                 )
             )
     return tables

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from clientlens.operators.incremental import last_run_time
@@ -26,7 +25,7 @@ class AuditLog:
 
     def __init__(self, lake: Lake, layer: str):
         self.spark: SparkSession = lake.spark
-        self.path = lake.path(layer, "audit_log")
+        self.table = lake.table(layer, "audit_log", AUDIT)
 
     def append(
         self,
@@ -44,15 +43,14 @@ class AuditLog:
         now = datetime.now(timezone.utc)
         row = (batch_id, table, source, run_mode, status, rows, last_run, run_ts, message, now)
         entry = self.spark.createDataFrame([row], AUDIT)
-        entry.coalesce(1).write.mode("append").parquet(self.path)
+        self.table.append(entry.coalesce(1))
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(AUDIT).parquet(self.path)
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], AUDIT)
+        return self.table.state()
+
+    def compact(self) -> int:
+        """One row is one small file; gather them."""
+        return self.table.compact()
 
     def last_run_time(self, table: str) -> datetime | None:
         """Latest successful run of a table; only a missing log counts as no run at all."""
@@ -61,27 +59,29 @@ class AuditLog:
 
 def run_steps(
     log: AuditLog,
-    steps: Iterable[tuple[str, str, str, Callable[[], int]]],
+    steps: Iterable[tuple[str, str, str, Callable[[], int | tuple[int, datetime | None]]]],
     batch_id: str,
     run_ts: datetime,
     stop_on_failure: bool,
 ) -> dict[str, int]:
     """Run (table, source, mode, step) in order and audit each one.
 
-    A failure either stops the run or, where steps are independent, is raised at the end.
+    A failure either stops the run or, where steps are independent, is raised at the end. A step
+    gives its rows, or its rows and the time up to which it has read its own source.
     """
     written: dict[str, int] = {}
     failures: dict[str, Exception] = {}
     for table, source, run_mode, step in steps:
         try:
-            written[table] = step()
+            done = step()
+            written[table], last_run = done if isinstance(done, tuple) else (done, None)
         except Exception as error:  # noqa: BLE001 - every failure is recorded and raised later
             log.append(batch_id, table, source, run_mode, 0, run_ts, error=error)
             failures[table] = error
             if stop_on_failure:
                 raise
             continue
-        log.append(batch_id, table, source, run_mode, written[table], run_ts)
+        log.append(batch_id, table, source, run_mode, written[table], run_ts, last_run)
     if failures:
         raise JobFailed(failures)
     return written

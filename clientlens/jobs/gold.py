@@ -54,7 +54,7 @@ def build_holdings(lake: Lake, as_of: date, run_ts: datetime, batch_id: str) ->
         as_of,
     )
     target = gold_table(lake, "agg_customer_holdings")
-    return target.publish(with_gold_meta(frame, batch_id, run_ts), "replace", "overwrite", batch_id)
+    return target.replace(with_gold_meta(frame, batch_id, run_ts), run_ts, batch_id)
 
 
 def build_activity(
@@ -69,7 +69,7 @@ def build_activity(
         settings,
     )
     target = gold_table(lake, "agg_customer_txn_12m")
-    return target.publish(with_gold_meta(frame, batch_id, run_ts), "replace", "overwrite", batch_id)
+    return target.replace(with_gold_meta(frame, batch_id, run_ts), run_ts, batch_id)
 
 
 def build_mart(
@@ -84,8 +84,7 @@ def build_mart(
         settings,
     )
     target = gold_table(lake, "mart_customer_360")
-    stamped = with_gold_meta(frame, batch_id, run_ts)
-    return target.publish(stamped, "replace_partitions", "overwrite", batch_id, [as_of])
+    return target.overwrite_partitions(with_gold_meta(frame, batch_id, run_ts))
 
 
 def run_gold(

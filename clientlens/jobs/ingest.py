@@ -18,7 +18,7 @@ Reader = Callable[[SourceTable, datetime | None, datetime], DataFrame]
 
 
 def bronze_table(lake: Lake, name: str) -> LakeTable:
-    return lake.table(LAYER, name, BRONZE[name])
+    return lake.table(LAYER, name, BRONZE[name], "_batch_id")
 
 
 def bronze_current(lake: Lake, table: SourceTable) -> DataFrame:
@@ -38,14 +38,14 @@ def ingest_table(
 
     Without a last run, or for a table without a change column, the source is read in full and
     starts the table anew, so rows that moved or vanished leave nothing behind. Otherwise the
-    changes become one more batch; a repeated batch id replaces its earlier rows.
+    changes become one more batch, a partition of the table; a repeated batch id replaces its rows.
     """
     full = last is None or table.change_column is None
     rows = with_ingest_meta(read(table, None if full else last, run_ts), run_ts, table.source, batch_id)
     target = bronze_table(lake, table.bronze)
     if full:
-        return target.publish(rows, "replace", "full snapshot", batch_id)
-    return target.publish(rows, "append", "increment", batch_id)
+        return target.replace(rows, run_ts, batch_id)
+    return target.overwrite_partitions(rows)
 
 
 def run_ingest(

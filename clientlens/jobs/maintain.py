@@ -7,23 +7,27 @@ from collections.abc import Mapping
 from pyspark.sql import functions as F
 
 from clientlens.plans.governance import leaky_snapshots, remask
-from clientlens.sources.lake import LakeTable
+from clientlens.sources.lake import Dimension, LakeTable
+from clientlens.sources.scratch import materialise
 
 
 def remask_snapshots(mart: LakeTable) -> int:
     """Rewrite the snapshots that hold unmasked names; returns the rows rewritten.
 
-    Snapshots without a leak are not touched, and a second run finds nothing to do.
+    Snapshots without a leak are not touched, and a second run finds nothing to do. The files with
+    the raw names are removed once the masked ones are in place; raw names are written nowhere else.
     """
     rows = mart.read()
     leaky = [r[0] for r in leaky_snapshots(rows).collect()]
     if not leaky:
         return 0
-    repaired = remask(rows.filter(F.col("snapshot_date").isin(leaky)))
-    return mart.publish(repaired, "replace_partitions", "mask names", replaced=leaky)
+    known = [d for d in leaky if d is not None]
+    day = F.col("snapshot_date")
+    chosen = day.isin(known) | (day.isNull() if None in leaky else F.lit(False))
+    return mart.overwrite_partitions(materialise(remask(rows.filter(chosen)), "masked"))
 
 
-def compact_tables(tables: Mapping[str, LakeTable]) -> dict[str, int | Exception]:
+def compact_tables(tables: Mapping[str, LakeTable | Dimension]) -> dict[str, int | Exception]:
     """Compact every table; one failure does not stop the rest. Returns rows or the error."""
     summary: dict[str, int | Exception] = {}
     for name, table in tables.items():

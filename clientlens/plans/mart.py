@@ -47,6 +47,11 @@ def age_in_years(as_of: date, born: Column) -> Column:
     return F.floor(F.months_between(F.lit(as_of), born) / 12).cast("int")
 
 
+def tenure_days(as_of: date) -> Column:
+    """Days since the first product was opened."""
+    return F.datediff(F.lit(as_of), "first_open_date")
+
+
 def _figures(aggregate: DataFrame, table: str) -> DataFrame:
     """The aggregate without its load metadata."""
     return aggregate.select([f.name for f in GOLD[table] if not f.name.startswith("_gold")])
@@ -55,12 +60,15 @@ def _figures(aggregate: DataFrame, table: str) -> DataFrame:
 def mart_base(
     customers: DataFrame, holdings: DataFrame, activity: DataFrame, as_of: date
 ) -> DataFrame:
-    """Current customers with their holdings and activity; absent figures get their defaults."""
+    """Current customers with their holdings and activity; absent figures get their defaults.
+
+    Personal data is masked here, so what is stored from here on has none of it in the open.
+    """
     identity = customers.filter("is_current").select(
         "customer_id",
-        "full_name",
-        "phone",
-        "email",
+        mask_name(F.col("full_name")).alias("full_name"),
+        mask_phone(F.col("phone")).alias("phone_masked"),
+        mask_email(F.col("email")).alias("email_masked"),
         age_in_years(as_of, F.col("date_of_birth")).alias("age"),
         "gender",
         "customer_segment",
@@ -72,7 +80,7 @@ def mart_base(
         identity.join(_figures(holdings, "agg_customer_holdings"), "customer_id", "left")
         .join(_figures(activity, "agg_customer_txn_12m"), "customer_id", "left")
         .fillna(_DEFAULTS)
-        .withColumn("tenure_days", F.datediff(F.lit(as_of), "first_open_date"))
+        .withColumn("tenure_days", tenure_days(as_of))
     )
 
 
@@ -102,19 +110,9 @@ def with_rfm(base: DataFrame) -> DataFrame:
 
 
 def finish_mart(scored: DataFrame, as_of: date, settings: GoldSettings) -> DataFrame:
-    """Apply the cross-sell rules and replace personal data with its masked form."""
-    return (
-        with_rules(scored, settings.cross_sell)
-        .withColumns(
-            {
-                "full_name": mask_name(F.col("full_name")),
-                "phone_masked": mask_phone(F.col("phone")),
-                "email_masked": mask_email(F.col("email")),
-                "snapshot_date": F.lit(as_of),
-            }
-        )
-        .select(*MART_COLUMNS)
-    )
+    """Apply the cross-sell rules and stamp the snapshot date."""
+    dated = with_rules(scored, settings.cross_sell).withColumn("snapshot_date", F.lit(as_of))
+    return dated.select(*MART_COLUMNS)
 
 
 def customer_mart(

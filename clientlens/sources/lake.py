@@ -1,45 +1,34 @@
-"""Tables as versioned Parquet folders with a log of commits.
+"""Tables as plain Parquet folders.
 
-Every publish writes a folder of its own and becomes visible with one log entry, so readers
-see all of it or nothing, a failed run leaves no trace and earlier versions stay readable.
-One writer per table at a time is assumed, as in a scheduled daily run.
+A table is a folder for each full load, with a name of its own for each attempt, and a pointer to the
+one that counts. The pointer is written last, so readers see a full load or nothing of it, a failed
+run leaves the table as it was, and of two writers neither touches the other's files. Within the
+folder, batches and days are partitions: appended, or replaced by Spark's dynamic partition overwrite,
+which removes the files it replaces. There is no log to replay and nothing that grows in the driver.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-from datetime import date, datetime, timezone
+import uuid
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import StringType, StructType, TimestampType
 
-from clientlens.functions.times import as_utc
 from clientlens.schemas import align_to_schema
+from clientlens.sources.scratch import materialise
 
-_LOG = (
+_POINTER = (
     StructType()
-    .add("version", IntegerType())
-    .add("committed_at", TimestampType())
-    .add("operation", StringType())
-    .add("mode", StringType())
+    .add("folder", StringType())
+    .add("published_at", TimestampType())
+    .add("run_ts", TimestampType())
     .add("batch_id", StringType())
-    .add("replaced", ArrayType(StringType()))
-    .add("rows", LongType())
 )
-_VERSION = "_version"
-
-
-def _next_version(commits: list[dict]) -> int:
-    return commits[-1]["version"] + 1 if commits else 1
+#: Files of a partition that are worth a rewrite, and the size that files should have.
+MANY_FILES, FILE_BYTES = 4, 128 << 20
 
 
 class LakeTable:
@@ -50,207 +39,154 @@ class LakeTable:
     ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.declared = schema
+        self.schema = schema
         self.partition_by = partition_by
 
-    # --- commit log ---------------------------------------------------------------------------
-
-    def _hadoop_path(self, *parts: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _commits(self, version: int | None = None, as_of: datetime | None = None) -> list[dict]:
-        """Log entries, oldest first. The newest log file holds the whole log."""
-        folder, fs = self._hadoop_path("log")
-        if not fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        complete = [name for name in names if name.endswith(".json")]
-        if not complete:
-            return []
-        path, _ = self._hadoop_path("log", max(complete))
-        stream = fs.open(path)
+    def published(self) -> dict | None:
+        """Folder, run time and batch of the latest full load; None if there was none."""
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        commits = [
-            {**entry, "committed_at": datetime.fromisoformat(entry["committed_at"])}
-            for entry in json.loads(text)
-        ]
-        if version is not None:
-            commits = [c for c in commits if c["version"] <= version]
-        if as_of is not None:
-            commits = [c for c in commits if c["committed_at"] <= as_utc(as_of)]
-        return commits
-
-    def history(self) -> DataFrame:
-        """One row per commit: version, time, operation, batch and rows written."""
-        rows = [tuple(c[name] for name in _LOG.names) for c in self._commits()]
-        return self.spark.createDataFrame(rows, _LOG)
+            pointers = self.spark.read.schema(_POINTER).parquet(f"{self.path}/published")
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        latest = F.max_by(F.struct("folder", F.unix_micros("run_ts").alias("run"), "batch_id"), "published_at")
+        found = pointers.agg(latest.alias("p")).first()["p"]
+        if found is None:
+            return None
+        return {"folder": found.folder, "run_ts": found.run, "batch_id": found.batch_id}
 
     def exists(self) -> bool:
-        return bool(self._commits())
-
-    def schema(self) -> StructType:
-        """Current schema: the one of the latest commit, or the declared one."""
-        return self._schema_of(self._commits())
-
-    def _schema_of(self, commits: list[dict]) -> StructType:
-        """Schema after the given commits; only commits that changed it carry it."""
-        for commit in reversed(commits):
-            if commit["table_schema"] is not None:
-                return StructType.fromJson(commit["table_schema"])
-        return self.declared
-
-    def _commit(self, commits: list[dict], schema: StructType, **entry) -> None:
-        version = _next_version(commits)
-        changed = not commits or schema != self._schema_of(commits)
-        entry = {
-            "version": version,
-            "committed_at": datetime.now(timezone.utc),
-            "table_schema": schema.jsonValue() if changed else None,
-            **entry,
-        }
-        log = [{**c, "committed_at": c["committed_at"].isoformat()} for c in [*commits, entry]]
-        final, fs = self._hadoop_path("log", f"{version:010d}.json")
-        if fs.exists(final):
-            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
-        draft, _ = self._hadoop_path("log", f"{version:010d}.draft")
-        stream = fs.create(draft, True)
-        stream.write(bytearray(json.dumps(log).encode("utf-8")))
-        stream.close()
-        if not fs.rename(draft, final):
-            raise RuntimeError(f"cannot commit version {version} of {self.path}")
-
-    # --- reading ------------------------------------------------------------------------------
-
-    @staticmethod
-    def _live(commits: list[dict]) -> dict[int, set[str]]:
-        """Versions whose rows are visible, with the partitions that later commits replaced."""
-        live: dict[int, set[str]] = {}
-        appended: dict[str, int] = {}
-        for commit in commits:
-            if commit["mode"] == "schema":
-                continue
-            if commit["mode"] == "replace":
-                live, appended = {}, {}
-            elif commit["mode"] == "replace_partitions":
-                for hidden in live.values():
-                    hidden.update(commit["replaced"])
-            elif commit["batch_id"] is not None:
-                live.pop(appended.get(commit["batch_id"]), None)
-                appended[commit["batch_id"]] = commit["version"]
-            live[commit["version"]] = set()
-        return live
-
-    def read(
-        self,
-        version: int | None = None,
-        as_of: datetime | None = None,
-        batch_id: str | None = None,
-    ) -> DataFrame:
-        """Rows of the table now, at a version, or at a point in time, with the schema it had then.
-
-        ``batch_id`` restricts the read to the folders of one batch, as long as they have not
-        been folded into another version by a compaction or a full load.
-        """
-        commits = self._commits(version, as_of)
-        schema = self._schema_of(commits)
-        live = self._live(commits)
-        if batch_id is not None:
-            wanted = {c["version"] for c in commits if c["batch_id"] == batch_id}
-            live = {v: hidden for v, hidden in live.items() if v in wanted}
-            if not live:
-                raise ValueError(f"{self.path} has no separate batch {batch_id}")
-        if not live:
-            return align_to_schema(self.spark.sql("SELECT 1 AS x WHERE false"), schema)
-        rows = (
-            self.spark.read.schema(StructType([*schema.fields]).add(_VERSION, IntegerType()))
-            .option("basePath", f"{self.path}/data")
-            .parquet(*[f"{self.path}/data/{_VERSION}={v}" for v in live])
-        )
-        for v, hidden in live.items():
-            if hidden:
-                replaced = F.col(self.partition_by).isin([date.fromisoformat(d) for d in hidden])
-                rows = rows.filter(~((F.col(_VERSION) == v) & replaced))
-        return rows.select(*schema.names)
+        return self.published() is not None
+
+    def _rows(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}")
+
+    def read(self) -> DataFrame:
+        """The rows of the table; a table that was never loaded is an error."""
+        pointer = self.published()
+        if pointer is None:
+            raise ValueError(f"{self.path} was never loaded")
+        return self._rows(pointer["folder"])
+
+    def state(self) -> DataFrame:
+        """The rows of the table, none before its first load."""
+        pointer = self.published()
+        if pointer is None:
+            return align_to_schema(self.spark.sql("SELECT 1 AS x WHERE false"), self.schema)
+        return self._rows(pointer["folder"])
 
     # --- writing ------------------------------------------------------------------------------
 
-    def publish(
-        self,
-        df: DataFrame,
-        mode: str,
-        operation: str,
-        batch_id: str | None = None,
-        replaced: Sequence[date] = (),
-        rebalance: bool = False,
-    ) -> int:
-        """Write a frame as the next version and return the number of rows written.
-
-        Modes: ``replace`` (the frame is the whole table), ``append`` (a repeated batch id
-        replaces its earlier rows) and ``replace_partitions`` (the frame is the whole content
-        of the ``replaced`` dates). ``rebalance`` gathers the rows of a partition into files of
-        even size; a large partition is still written by many tasks.
+    def write(self, df: DataFrame, folder: str, mode: str = "errorifexists", **figures) -> dict:
+        """Write rows into a folder in one pass; gives ``rows`` and the ``figures`` asked for.
+
+        A partition is gathered into files of even size; a large one is written by many tasks.
         """
-        if mode not in ("replace", "append", "replace_partitions"):
-            raise ValueError(f"unknown mode {mode}")
-        commits = self._commits()
-        schema = self._schema_of(commits)
-        target = f"{self.path}/data/{_VERSION}={_next_version(commits)}"
-
-        rows = align_to_schema(df, schema)
-        if rebalance:
-            rows = rows.hint("rebalance", *([self.partition_by] if self.partition_by else []))
-        writer = rows.write.mode("overwrite")
+        watch = Observation()
+        rows = align_to_schema(df, self.schema).observe(watch, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in figures.items()))
+        if self.partition_by:
+            rows = rows.hint("rebalance", self.partition_by)
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         if self.partition_by:
             writer = writer.partitionBy(self.partition_by)
-        writer.parquet(target)
-        written = self.spark.read.schema(schema).parquet(target).count()
-
-        self._commit(
-            commits,
-            schema,
-            operation=operation,
-            mode=mode,
-            batch_id=batch_id,
-            replaced=[d.isoformat() for d in replaced],
-            rows=written,
-        )
-        return written
-
-    def add_columns(self, columns: Sequence[tuple[str, str]]) -> list[str]:
-        """Extend the schema without touching data; returns the names that were new.
-
-        Rows written before read NULL in the new columns, and earlier versions keep their schema.
+        writer.parquet(f"{self.path}/{folder}")
+        try:
+            return watch.get
+        except Exception as error:  # noqa: BLE001 - py4j has no error of its own for it
+            if "assertion failed" not in str(error):
+                raise
+            # Spark found the frame to be empty and left the counting out of its plan.
+            return dict.fromkeys(("rows", *figures), 0)
+
+    def draft(self, df: DataFrame, **figures) -> tuple[str, dict]:
+        """Write a full load that doesn't count yet; gives its folder and the figures."""
+        folder = f"load-{uuid.uuid4().hex}"
+        return folder, self.write(df, folder, **figures)
+
+    def publish(self, folder: str, run_ts: datetime | None = None, batch_id: str | None = None) -> None:
+        """Make a written load the table's content."""
+        row = (folder, datetime.now(timezone.utc), run_ts, batch_id)
+        entry = self.spark.createDataFrame([row], _POINTER)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+
+    def replace(self, df: DataFrame, run_ts: datetime | None = None, batch_id: str | None = None) -> int:
+        """The frame becomes the whole table; returns its rows."""
+        folder, figures = self.draft(df)
+        self.publish(folder, run_ts, batch_id)
+        return figures["rows"]
+
+    def append(self, df: DataFrame) -> int:
+        pointer = self.published()
+        if pointer is None:
+            return self.replace(df)
+        return self.write(df, pointer["folder"], "append")["rows"]
+
+    def overwrite_partitions(self, df: DataFrame) -> int:
+        """The frame becomes the whole content of the partitions that it has rows for."""
+        pointer = self.published()
+        if pointer is None:
+            return self.replace(df)
+        return self.write(df, pointer["folder"], "overwrite")["rows"]
+
+    def compact(self) -> int:
+        """Rewrite the partitions that lie in many small files; returns the rows rewritten.
+
+        Files are counted from their metadata; no data column is read for it.
         """
-        commits = self._commits()
-        schema = self._schema_of(commits)
-        known = {n.lower() for n in schema.names}
-        new = [(name, kind) for name, kind in columns if name.lower() not in known]
-        if new:
-            for name, kind in new:
-                schema = schema.add(name, kind.lower())
-            self._commit(
-                commits,
-                schema,
-                operation="add columns",
-                mode="schema",
-                batch_id=None,
-                replaced=[],
-                rows=0,
-            )
-        return [name for name, _ in new]
+        rows = self.read()
+        if self.partition_by is None:
+            return self.replace(rows) if len(rows.inputFiles()) > MANY_FILES else 0
+        day = F.col(self.partition_by)
+        files = rows.select(day.alias("part"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
+        small = files.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("bytes"))
+        small = small.filter((F.col("n") > MANY_FILES) & (F.col("n") > 2 * F.ceil(F.col("bytes") / FILE_BYTES)))
+        chosen = rows.join(small.select("part"), day.eqNullSafe(F.col("part")), "left_semi")
+        return self.overwrite_partitions(materialise(chosen, "compact"))
+
+
+class Dimension:
+    """A type 2 dimension: the versions after the latest run, and an archive of closed ones.
+
+    A load holds the current versions and those that its own run closed. The next run moves these to
+    the archive, a partition for each run, before it publishes its own load; readers take from the
+    archive what was closed before the published run. So closed history is never rewritten, and a
+    crash at any point leaves the published state readable and the retry idempotent.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+        self.versions = LakeTable(spark, f"{path}/versions", schema, "is_current")
+        self.archive = LakeTable(spark, f"{path}/closed", schema, "effective_to")
+
+    def published(self) -> dict | None:
+        return self.versions.published()
+
+    def exists(self) -> bool:
+        return self.published() is not None
+
+    def _history(self, latest: DataFrame, pointer: dict | None) -> DataFrame:
+        if pointer is None or not self.archive.exists():
+            return latest
+        closed = self.archive.read().filter(F.col("effective_to") < F.timestamp_micros(F.lit(pointer["run_ts"])))
+        return latest.unionByName(closed)
+
+    def read(self) -> DataFrame:
+        """All versions; a dimension that was never loaded is an error."""
+        return self._history(self.versions.read(), self.published())
+
+    def state(self) -> DataFrame:
+        return self._history(self.versions.state(), self.published())
+
+    def current(self) -> DataFrame:
+        return self.versions.state().filter("is_current")
+
+    def move_closed(self) -> None:
+        """Archive what the published run closed."""
+        closed = self.versions.state().filter("NOT is_current")
+        self.archive.overwrite_partitions(materialise(closed, "closed"))
 
     def compact(self) -> int:
-        """Rewrite the visible rows into few files of even size; the content stays the same."""
-        before = self.read()
-        expected = before.count()
-        written = self.publish(before, "replace", "compact", rebalance=True)
-        if written != expected:
-            raise RuntimeError(f"compaction of {self.path} wrote {written} of {expected} rows")
-        return written
+        return self.archive.compact() if self.archive.exists() else 0
 
 
 class Lake:
@@ -263,7 +199,10 @@ class Lake:
     def table(
         self, layer: str, name: str, schema: StructType, partition_by: str | None = None
     ) -> LakeTable:
-        return LakeTable(self.spark, f"{self.root}/{layer}/{name}", schema, partition_by)
+        return LakeTable(self.spark, self.path(layer, name), schema, partition_by)
+
+    def dimension(self, layer: str, name: str, schema: StructType) -> Dimension:
+        return Dimension(self.spark, self.path(layer, name), schema)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,9 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate results, as named by ``spark.checkpoint.dir``.
-
-    Only a local master that names none, as in tests, gets a temporary folder; on a cluster
-    such a folder would not be shared.
-    """
-    root = spark.conf.get(_SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="clientlens-")
-        spark.conf.set(_SETTING, root)
+    """Shared folder for intermediate results: the one named by ``spark.checkpoint.dir``, or a
+    folder below the warehouse, which all executors reach too."""
+    root = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return root.rstrip("/")
 
 

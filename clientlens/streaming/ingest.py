@@ -8,26 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from clientlens.jobs.audit import AuditLog
 from clientlens.operators.incremental import with_ingest_meta
 from clientlens.sources.lake import LakeTable
 
 
 def ingest_files(
-    target: LakeTable, folder: str, file_schema: StructType, checkpoint: str, source: str
+    target: LakeTable,
+    folder: str,
+    file_schema: StructType,
+    checkpoint: str,
+    source: str,
+    log: AuditLog | None = None,
 ) -> StreamingQuery:
     """Append all files that arrived since the last call as new batches, then stop.
 
     The stream's checkpoint takes the place of the watermark. A batch that is replayed after a
     failure carries the same batch id and replaces its earlier rows. Readers take the latest
-    row per key, as for any other batches.
+    row per key, as for any other batches. With ``log``, the bronze audit log, each batch is
+    recorded, which is how the silver run finds it.
     """
 
     def append(batch: DataFrame, epoch: int) -> None:
         # The query id lives in the checkpoint: another stream never has the same one.
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch_id = f"stream-{query_id}-{epoch}"
-        stamped = with_ingest_meta(batch, datetime.now(timezone.utc), source, batch_id)
-        target.publish(stamped, "append", "stream", batch_id)
+        now = datetime.now(timezone.utc)
+        rows = target.overwrite_partitions(with_ingest_meta(batch, now, source, batch_id))
+        if log is not None:
+            log.append(batch_id, target.path.rsplit("/", 1)[-1], source, "stream", rows, now)
 
     arriving = target.spark.readStream.schema(file_schema).parquet(folder)
     return (

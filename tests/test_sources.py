@@ -24,25 +24,54 @@ def test_range_options():
     }
 
 
-def test_incremental_read_is_a_filter_on_the_source(spark, monkeypatch):
+class Asked:
+    """Stands for Spark's reader: keeps the options it is given and returns stored rows."""
+
+    def __init__(self, rows, log):
+        self.rows, self.log, self.own = rows, log, {}
+
+    def option(self, key, value):
+        self.own[key] = value
+        return self
+
+    def options(self, **more):
+        self.own |= more
+        return self
+
+    def load(self):
+        self.log.append(self.own)
+        if self.own["dbtable"].startswith("(SELECT MIN"):
+            return self.rows.selectExpr("min(UPDATED_AT)", "max(UPDATED_AT)")
+        return self.rows
+
+
+@pytest.mark.parametrize("table", config.SOURCE_TABLES, ids=lambda t: t.bronze)
+def test_every_table_is_read_in_parallel(spark, monkeypatch, table):
     from datetime import datetime, timezone
 
     rows = [("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 3)), ("c", None)]
     source = spark.createDataFrame(rows, "ACCOUNT_ID string, UPDATED_AT timestamp")
+    source = source.withColumn("CREATED_AT", source.UPDATED_AT)
     asked = []
-
-    def fake(_spark, _connection, table, split_column=None):
-        asked.append((table, split_column))
-        return source
-
-    monkeypatch.setattr(jdbc, "read_table", fake)
-    table = next(t for t in config.SOURCE_TABLES if t.name == "bank_accounts")
-    read = jdbc.jdbc_source(spark, {"oracle": None})
+    monkeypatch.setattr(jdbc, "_reader", lambda *_: Asked(source, asked))
+    read = jdbc.jdbc_source(spark, {table.source: jdbc.Connection("u", "d", "u", "p", partitions=7)})
     now = datetime(2024, 1, 5, tzinfo=timezone.utc)
     assert read(table, None, now).count() == 3
-    last = datetime(2024, 1, 2, tzinfo=timezone.utc)
-    assert [r[0] for r in read(table, last, now).collect()] == ["b"]
-    assert asked == [("bank_accounts", "opened_date"), ("bank_accounts", None)]
+    whole = asked[-1]
+    assert whole["partitionColumn"] == table.partition_column and whole["numPartitions"] == "7"
+    assert (whole["lowerBound"], whole["upperBound"]) == ("2024-01-01 00:00:00", "2024-01-03 00:00:00")
+    if table.change_column:
+        last = datetime(2024, 1, 2, tzinfo=timezone.utc)
+        assert [r[0] for r in read(table, last, now).collect()] == ["b"]
+        assert asked[-1]["partitionColumn"] == table.change_column
+        assert (asked[-1]["lowerBound"], asked[-1]["upperBound"]) == ("2024-01-02 00:00:00", "2024-01-05 00:00:00")
+
+
+def test_sizes_and_tables_from_yaml():
+    raw = config.load_yaml("conf/ingest.yaml")
+    assert config.source_tables_from_mapping(raw) == list(config.SOURCE_TABLES)
+    oracle = jdbc.Connection.from_mapping(raw["sources"]["oracle"] | {"fetch_size": 5})
+    assert (oracle.partitions, oracle.fetch_size) == (16, 5)
 
 
 def test_intermediate_results_go_to_the_shared_folder(spark):
@@ -53,6 +82,32 @@ def test_intermediate_results_go_to_the_shared_folder(spark):
     assert stored.inputFiles()[0].startswith(f"file://{root}")
 
 
+class Settings(dict):
+    """Stands for the settings of a session."""
+
+    conf = property(lambda self: self)
+
+
+def test_without_a_setting_they_go_below_the_warehouse():
+    assert scratch.scratch_root(Settings({"spark.sql.warehouse.dir": "hdfs://x/wh"})) == "hdfs://x/wh/_scratch"
+
+
+def test_no_personal_data_in_scratch(spark, monkeypatch, tmp_path):
+    import __spark_entry__ as entry
+    from clientlens import catalogue
+
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(tmp_path))
+    monkeypatch.setattr(catalogue, "_banks", {})
+    entry.queries()["mart_customer_360"](spark, "/root/testdata/sf0.001").count()
+    stored = [p for p in tmp_path.rglob("*.parquet")]
+    assert stored
+    for path in stored:
+        rows = spark.read.parquet(str(path))
+        assert not {"phone", "email", "id_number", "date_of_birth"} & set(rows.columns)
+        if "full_name" in rows.columns:
+            assert rows.filter("full_name NOT LIKE '% ****'").count() == 0
+
+
 def test_gold_settings_from_yaml(tmp_path):
     path = tmp_path / "gold.yaml"
     path.write_text(

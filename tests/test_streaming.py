@@ -1,6 +1,7 @@
 import smallbank as sb
 from conftest import rows_of
 
+from clientlens.jobs.audit import AuditLog
 from clientlens.operators.incremental import current_rows
 from clientlens.schemas import BRONZE
 from clientlens.streaming.ingest import ingest_files
@@ -12,13 +13,14 @@ def _deliver(spark, folder, rows):
 
 
 def _run(lake, tmp_path):
-    target = lake.table("bronze", "pg_customers", BRONZE["pg_customers"])
+    target = lake.table("bronze", "pg_customers", BRONZE["pg_customers"], "_batch_id")
     query = ingest_files(
         target,
         str(tmp_path / "in"),
         sb.source_schema("pg_customers"),
         str(tmp_path / "checkpoint"),
         "postgres",
+        AuditLog(lake, "bronze"),
     )
     assert query.awaitTermination(120)
     return target
@@ -33,8 +35,10 @@ def test_arriving_files_become_batches(spark, lake, tmp_path):
     assert target.read().count() == 4
     current = current_rows(target.read(), "customer_id").select("customer_id", "customer_segment")
     assert rows_of(current) == [("C001", "MASS"), ("C002", "PREMIER"), ("C003", "MASS")]
-    batches = [r["batch_id"] for r in target.history().collect()]
-    assert len(set(batches)) == 2 and all("None" not in b for b in batches)
+    batches = [r[0] for r in target.read().select("_batch_id").distinct().collect()]
+    assert len(batches) == 2 and all("None" not in b for b in batches)
+    log = AuditLog(lake, "bronze").read()
+    assert {r[0] for r in log.select("batch_id").collect()} == set(batches)
 
     _run(lake, tmp_path)  # nothing new arrived
     assert target.read().count() == 4
