@@ -38,18 +38,18 @@ SOURCE_SQL = {
                CASE c_custkey % 3 WHEN 0 THEN 'VISA_CREDIT' WHEN 1 THEN 'MASTERCARD_CREDIT' ELSE 'VISA_DEBIT' END AS card_type,
                CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE CAST(10000 AS DOUBLE) END AS credit_limit,
                CASE WHEN c_acctbal > 0 AND c_custkey % 3 <> 2 THEN c_acctbal ELSE CAST(0 AS DOUBLE) END AS outstanding_balance,
-               'ACTIVE' AS status,
+               CASE WHEN c_custkey % 2 = 0 THEN 'ACTIVE' ELSE 'CLOSED' END AS status,
                DATE '1996-01-01' + CAST(c_custkey % 900 AS INT) AS opened_date
-        FROM {customer} WHERE c_custkey % 2 = 0
+        FROM {customer}
     """,
     "src_loans": """
         SELECT concat('LOAN', CAST(o_orderkey AS STRING)) AS loan_id,
                concat('CIF', lpad(CAST(o_custkey AS STRING), 9, '0')) AS customer_id,
                o_totalprice AS outstanding_amount,
                CASE WHEN o_orderkey % 130 = 0 THEN NULL WHEN o_orderstatus = 'P' THEN 'OVERDUE' ELSE 'NORMAL' END AS npl_status,
-               CASE WHEN o_orderkey % 50 = 0 THEN 'CLOSED' ELSE 'ACTIVE' END AS status,
+               CASE WHEN o_orderkey % 10 = 0 AND o_orderkey % 50 <> 0 THEN 'ACTIVE' ELSE 'CLOSED' END AS status,
                CAST(o_orderdate AS DATE) + 365 AS maturity_date
-        FROM {orders} WHERE o_orderkey % 10 = 0
+        FROM {orders}
     """,
     "src_bank_transactions": """
         SELECT CASE WHEN o_orderkey % 997 = 0 THEN NULL ELSE concat('BTXN', CAST(o_orderkey AS STRING)) END AS txn_id,
