@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clientlens import adapters
 from clientlens.config import SILVER_TABLES, UPPER_COLUMNS, GoldSettings, SilverTable
 from clientlens.functions import masking, segments
+from clientlens.functions.times import instant
 from clientlens.operators import cleansing, compare, incremental, scd
 from clientlens.plans import (
     activity,
@@ -37,6 +38,7 @@ AS_OF = date(2000, 6, 30)
 PREVIOUS = date(2000, 5, 31)
 FIRST_RUN = datetime(2000, 1, 1)
 SECOND_RUN = datetime(2000, 2, 1)
+BETWEEN_RUNS, AFTER_RUNS = datetime(2000, 1, 15), datetime(2000, 2, 15)
 SETTINGS = GoldSettings(
     as_of=AS_OF,
     lookback_months=24,
@@ -144,9 +146,9 @@ class Bank:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        """Two mart snapshots, stored once and shared by all report queries."""
+        """Two mart snapshots, stored once by their date and shared by all report queries."""
         both = self.build_mart(PREVIOUS).unionByName(self.build_mart(AS_OF))
-        return materialise(both, "mart")
+        return materialise(both, "mart", "snapshot_date")
 
     @cached_property
     def snapshot(self) -> DataFrame:
@@ -536,7 +538,12 @@ def customer_lookup(bank: Bank) -> DataFrame:
 
 @query
 def mart_completeness(bank: Bank) -> DataFrame:
-    return checks.mart_completeness(bank.snapshots, bank.customers)
+    """The first snapshot was loaded before the second delivery of customers, the second after it."""
+    old = F.col("snapshot_date") == PREVIOUS
+    loaded = F.when(old, instant(BETWEEN_RUNS)).otherwise(instant(AFTER_RUNS))
+    return checks.mart_completeness(
+        bank.snapshots.withColumn("_gold_loaded_at", loaded), bank.customer_history
+    )
 
 
 @query

@@ -6,16 +6,15 @@ import argparse
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from clientlens import config
 from clientlens.jobs import conform, gold, ingest, maintain
 from clientlens.jobs.audit import AuditLog
-from clientlens.plans import checks, export, lists, trends
+from clientlens.plans import checks, export, lists, slices, trends
 from clientlens.sources.jdbc import Connection, jdbc_source
 from clientlens.sources.lake import Dimension, Lake, LakeTable
-from clientlens.sources.scratch import release
+from clientlens.sources.scratch import materialise, release
 
 
 def _ingest(lake: Lake, args: argparse.Namespace) -> None:
@@ -72,13 +71,17 @@ def _verify(lake: Lake, args: argparse.Namespace) -> None:
     tables = {t.bronze: ingest.bronze_table(lake, t.bronze).read for t in config.SOURCE_TABLES}
     tables |= {name: table.read for name, table in silver.items()}
     customers = silver["dim_customer"].read()
+    latest = slices.mart_slice(mart)
+    counts = materialise(checks.table_counts(lake.spark, tables), "counts")
+    complete = materialise(checks.mart_completeness(mart, customers), "completeness")
+    leaks = materialise(checks.pii_leaks(mart), "leaks")
     reports: dict[str, DataFrame] = {
-        "rows per table": checks.table_counts(lake.spark, tables),
-        "completeness": checks.mart_completeness(mart, customers),
-        "segments": checks.rfm_distribution(mart),
-        "cross-sell": checks.cross_sell_counts(mart),
-        "net assets": checks.segment_net_asset(mart),
-        "leaks": checks.pii_leaks(mart),
+        "rows per table": counts,
+        "completeness": complete,
+        "segments": checks.rfm_distribution(latest),
+        "cross-sell": checks.cross_sell_counts(latest),
+        "net assets": checks.segment_net_asset(latest),
+        "leaks": leaks,
     }
     for layer in ("bronze", "silver", "gold"):
         reports[f"latest runs of {layer}"] = checks.recent_audit(AuditLog(lake, layer).read())
@@ -87,10 +90,15 @@ def _verify(lake: Lake, args: argparse.Namespace) -> None:
         reports["versions"] = lists.customer_lookup(customers, args.customer).orderBy("version")
     for title, report in reports.items():
         print(f"== {title}")
-        try:
-            report.show(40, truncate=False)
-        except AnalysisException as exc:
-            print(exc)
+        report.show(40, truncate=False)
+    wrong = {
+        "tables that can't be read": counts.filter("error IS NOT NULL"),
+        "incomplete snapshots": complete.filter("NOT complete"),
+        "leaks": leaks.filter("raw_name_leak + raw_email_leak + forbidden_columns > 0"),
+    }
+    found = [title for title, rows in wrong.items() if not rows.isEmpty()]
+    if found:
+        raise SystemExit("verification failed: " + ", ".join(found))
 
 
 def _export(lake: Lake, args: argparse.Namespace) -> None:

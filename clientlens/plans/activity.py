@@ -105,8 +105,10 @@ def customer_activity(
         F.max("last_date").alias("last_date"),
         *[F.bit_or(name).alias(name) for name in names],
     ]
+    # Dealt by customer once: both aggregates find the rows of a customer together.
     per_category = (
         per_account.join(tagged_accounts(accounts, cards), ["source", "account_id"])
+        .repartition("customer_id")
         .groupBy("customer_id", "merchant_category")
         .agg(*merged)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientlens.functions.masking import MASKED_NAME_PATTERN, is_raw_email, is_raw_name
@@ -22,7 +22,7 @@ def table_counts(spark: SparkSession, tables: Mapping[str, Callable[[], DataFram
         try:
             rows = open_table().agg(F.count(F.lit(1)).alias("n"))
             error = F.lit(None).cast("string")
-        except AnalysisException as exc:
+        except (AnalysisException, ValueError) as exc:  # ValueError: the table was never loaded
             rows = spark.range(1).select(F.lit(None).cast("bigint").alias("n"))
             error = F.lit(str(exc).splitlines()[0])
         counted.append(rows.select(F.lit(name).alias("table_name"), "n", error.alias("error")))
@@ -43,18 +43,41 @@ def recent_audit(audit: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
-def mart_completeness(mart: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per snapshot: mart rows, distinct customers, and whether both match the dimension."""
-    expected = customers.filter("is_current").select(F.count(F.lit(1))).scalar()
-    per_customer = mart.groupBy("snapshot_date", "customer_id").agg(F.count(F.lit(1)).alias("rows"))
+def mart_completeness(mart: DataFrame, history: DataFrame) -> DataFrame:
+    """Per snapshot: mart rows, distinct customers, and whether both match the customers that were
+    current when it was loaded.
+
+    ``history`` holds the versions of the customer dimension. A version adds a customer when it
+    begins and takes one away when it ends; the sums per moment, of which there are as many as runs,
+    are added up to each load.
+    """
+    per_customer = mart.groupBy("snapshot_date", "customer_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("_gold_loaded_at").alias("loaded")
+    )
+    snapshots = per_customer.groupBy("snapshot_date").agg(
+        F.sum("rows").alias("mart_rows"),
+        F.count(F.lit(1)).alias("mart_customers"),
+        F.max("loaded").alias("moment"),
+    )
+    begins = F.struct(F.col("effective_from").alias("moment"), F.lit(1).alias("change"))
+    ends = F.struct(F.col("effective_to").alias("moment"), F.lit(-1).alias("change"))
+    moves = history.select(F.inline(F.array(begins, ends))).filter("moment IS NOT NULL")
+    moves = moves.groupBy("moment").agg(F.sum("change").alias("change"))
+    line = moves.unionByName(snapshots, allowMissingColumns=True)
+    so_far = Window.orderBy("moment", F.col("snapshot_date").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    known = F.coalesce(F.sum("change").over(so_far), F.lit(0))
     return (
-        per_customer.groupBy("snapshot_date")
-        .agg(F.sum("rows").alias("mart_rows"), F.count(F.lit(1)).alias("mart_customers"))
-        .withColumn("current_customers", expected)
-        .withColumn(
-            "complete",
-            (F.col("mart_rows") == F.col("current_customers"))
-            & (F.col("mart_customers") == F.col("current_customers")),
+        line.withColumn("current_customers", known)
+        .filter("mart_rows IS NOT NULL")
+        .select(
+            "snapshot_date",
+            "mart_rows",
+            "mart_customers",
+            "current_customers",
+            (
+                (F.col("mart_rows") == F.col("current_customers"))
+                & (F.col("mart_customers") == F.col("current_customers"))
+            ).alias("complete"),
         )
     )
 

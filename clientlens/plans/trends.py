@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +22,14 @@ def customer_days(
     cards: DataFrame,
     customers: DataFrame,
 ) -> DataFrame:
-    """One row per completed transaction of a current customer, with the customer's segment.
+    """Count and amount of the completed transactions of each current customer, per day, source and
+    channel, with the customer's segment.
 
-    All trends derive from this frame, so the facts are read and joined once; the owners are
-    looked up among the dimensions first. An account has few transactions per day and channel,
+    All trends derive from this frame, so the facts are read, joined and reduced once; the owners
+    are looked up among the dimensions first. An account has few transactions per day and channel,
     so counting them before the join would shuffle the facts once more without making them
     smaller. The partitions of a hot account are split by Spark's skew join instead, and the
-    aggregates on top combine on the map side.
+    aggregate on top combines on the map side.
     """
     facts = tagged_facts(bank, card).select(
         "source",
@@ -37,13 +40,17 @@ def customer_days(
     )
     current = customers.filter("is_current").select("customer_id", "customer_segment")
     owners = tagged_accounts(accounts, cards).join(current, "customer_id")
-    return facts.join(owners, ["source", "account_id"]).drop("account_id")
+    return (
+        facts.join(owners, ["source", "account_id"])
+        .groupBy("day", "source", "channel", "customer_segment", "customer_id")
+        .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("amount"))
+    )
 
 
 def daily_trend(days: DataFrame) -> DataFrame:
     """Transaction count and amount per day, source, channel and segment."""
     return days.groupBy("day", "source", "channel", "customer_segment").agg(
-        F.count(F.lit(1)).alias("txn_count"), F.sum("amount").cast("double").alias("txn_amount")
+        F.sum("txn_count").alias("txn_count"), F.sum("amount").cast("double").alias("txn_amount")
     )
 
 
@@ -76,11 +83,16 @@ def active_trend(active: DataFrame, grain: str) -> DataFrame:
     return active.groupBy(_label(grain, grain)).agg(F.sum("active_customers").alias("n")).orderBy("x")
 
 
-def channel_trend(trend: DataFrame, grain: str) -> DataFrame:
-    """Transaction count per day or month with one column per channel, 0 where there is none."""
+def channel_trend(
+    trend: DataFrame, grain: str, channels: Sequence[str] = CHANNELS
+) -> DataFrame:
+    """Transaction count per day or month with one column per channel, 0 where there is none.
+
+    Only ``channels`` are shown: transactions of others, and those without a channel, have no column.
+    """
     return (
         trend.groupBy(_label("day", grain))
-        .pivot("channel", list(CHANNELS))
+        .pivot("channel", list(channels))
         .agg(F.sum("txn_count"))
         .fillna(0)
         .orderBy("x")

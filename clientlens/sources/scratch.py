@@ -20,15 +20,17 @@ def _folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/clientlens-{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write the frame to the shared folder once and return a frame that reads it.
+def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """Write the frame to the shared folder once and return a frame that reads it; by partitions of
+    a column if one is named.
 
     Cuts the lineage without depending on executor storage: a lost executor only means
     reading the files again. Readers prune columns, unlike with a checkpoint.
     """
     spark = df.sparkSession
     path = f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

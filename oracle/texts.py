@@ -170,11 +170,16 @@ _BODIES["customer_lookup"] = """
     SELECT customer_id, snapshot_date, full_name, rfm_segment, total_deposit_balance
     FROM mart WHERE customer_id = 'CIF000000007'"""
 _BODIES["mart_completeness"] = """
-    SELECT snapshot_date, count(*) AS mart_rows, count(DISTINCT customer_id) AS mart_customers,
-           (SELECT count(*) FROM dim_customer) AS current_customers,
-           count(*) = (SELECT count(*) FROM dim_customer)
-               AND count(DISTINCT customer_id) = (SELECT count(*) FROM dim_customer) AS complete
-    FROM mart GROUP BY snapshot_date"""
+    SELECT snapshot_date, mart_rows, mart_customers, current_customers,
+           mart_rows = current_customers AND mart_customers = current_customers AS complete
+    FROM (
+        SELECT snapshot_date, count(*) AS mart_rows, count(DISTINCT customer_id) AS mart_customers,
+               CASE WHEN snapshot_date = DATE '2000-05-31' THEN TIMESTAMP '2000-01-15'
+                    ELSE TIMESTAMP '2000-02-15' END AS loaded
+        FROM mart GROUP BY snapshot_date) s
+    JOIN LATERAL (
+        SELECT count(*) AS current_customers FROM history h
+        WHERE h.effective_from <= s.loaded AND (h.effective_to IS NULL OR s.loaded < h.effective_to)) k ON TRUE"""
 _BODIES["rfm_distribution"] = """
     SELECT rfm_segment, count(*) AS n, round(avg(monetary_12m), 0) AS avg_monetary,
            round(avg(recency_days), 0) AS avg_recency

@@ -402,6 +402,13 @@ def test_command_line_jobs(spark, loaded, tmp_path, capsys):
     assert "'mart_customer_360': 4" in run("gold", "--config", str(settings))
     report = run("verify", "--customer", "C001")
     assert "Mai ****" in report and "PATH_NOT_FOUND" not in report
+    leaky = gold_table(loaded, "mart_customer_360")
+    clean = materialise(leaky.read(), "clean")
+    leaky.overwrite_partitions(clean.withColumn("full_name", F.lit("Mai Thu Lan")).limit(3))
+    with pytest.raises(SystemExit, match="incomplete snapshots, leaks"):
+        run("verify")
+    capsys.readouterr()
+    leaky.overwrite_partitions(clean)
     assert "2024-10-31" in run("export", "--out", str(tmp_path / "out"))
     assert run("remask").strip() == "0"
     assert "mart_customer_360 0" in run("compact")
