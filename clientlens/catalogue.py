@@ -6,6 +6,7 @@ there are small, so the cross-sell thresholds are set to match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property
@@ -14,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientlens import adapters
-from clientlens.config import SILVER_TABLES, UPPER_COLUMNS, GoldSettings, SilverTable
+from clientlens.config import SILVER_TABLES, SOURCE_TABLES, UPPER_COLUMNS, GoldSettings, SilverTable
 from clientlens.functions import masking, segments
 from clientlens.functions.times import instant
+from clientlens.jobs import conform as conform_job
+from clientlens.jobs import gold, ingest
+from clientlens.jobs.audit import AuditLog
 from clientlens.operators import cleansing, compare, incremental, scd
 from clientlens.plans import (
     activity,
@@ -32,7 +36,8 @@ from clientlens.plans import (
     trends,
 )
 from clientlens.schemas import BRONZE, GOLD, SILVER, align_to_schema
-from clientlens.sources.scratch import materialise
+from clientlens.sources.lake import Lake
+from clientlens.sources.scratch import materialise, scratch_root
 
 AS_OF = date(2000, 6, 30)
 PREVIOUS = date(2000, 5, 31)
@@ -52,6 +57,8 @@ SETTINGS = GoldSettings(
 )
 TABLES = {t.name: t for t in SILVER_TABLES}
 
+FACTS_CUT = date(2000, 1, 1)
+
 AUDIT_SQL = """
     SELECT concat('b', CAST(event_id AS STRING)) AS batch_id,
            event_type AS table_name,
@@ -126,6 +133,42 @@ class Bank:
     def customer_history(self) -> DataFrame:
         return self.history(FIRST_RUN, [self.customers, self.changed_customers])
 
+    @cached_property
+    def job_lake(self) -> Lake:
+        """A lake after the jobs ran over these tables, each silver run twice.
+
+        ``run1`` delivers everything but the transactions from ``FACTS_CUT`` on, ``run1b`` all bank
+        transactions, then gold is built; ``run2`` delivers the changed customers.
+        """
+        lake = Lake(self.spark, f"{scratch_root(self.spark)}/lake-{uuid.uuid4().hex}")
+        first = {
+            "pg_customers": self.source("src_customers"),
+            "oracle_bank_accounts": self.source("src_bank_accounts"),
+            "pg_card_accounts": self.source("src_card_accounts"),
+            "oracle_loans": self.source("src_loans"),
+            "oracle_bank_transactions": self.bank_facts.filter(F.col("txn_date") < FACTS_CUT),
+            "pg_card_transactions": self.card_facts,
+        }
+        later = {"oracle_bank_transactions": self.bank_facts}
+        changed = {"pg_customers": adapters.changed_customers(self.spark, self.folder)}
+        for batch, run_ts, delivery in (
+            ("run1", FIRST_RUN, first),
+            ("run1b", BETWEEN_RUNS, later),
+            ("run2", SECOND_RUN, changed),
+        ):
+            sources = [t for t in SOURCE_TABLES if t.bronze in delivery]
+            targets = [t for t in SILVER_TABLES if t.bronze in delivery]
+            read = lambda table, last, now, rows=delivery: rows[table.bronze]
+            ingest.run_ingest(lake, read, run_ts, batch, sources)
+            for _ in range(2):
+                conform_job.run_conform(lake, run_ts, batch, targets)
+            if batch == "run1b":
+                gold.run_gold(lake, run_ts, batch, SETTINGS)
+        return lake
+
+    def job_table(self, name: str) -> DataFrame:
+        return conform_job.silver_table(self.job_lake, TABLES[name]).read()
+
     def holdings(self, as_of: date) -> DataFrame:
         return holdings.customer_holdings(
             self.customers, self.accounts, self.cards, self.loans, as_of
@@ -508,6 +551,45 @@ def snapshot_key_changes(bank: Bank) -> DataFrame:
     return compare.key_changes(bank.customers, bank.changed_customers, "customer_id", columns)
 
 
+# --- the jobs, over the same tables --------------------------------------------------------------
+
+
+@query
+def job_bronze_batches(bank: Bank) -> DataFrame:
+    """Rows of each batch in bronze: a full load, and increments beside it."""
+    names = ("pg_customers", "oracle_bank_transactions")
+    rows = [ingest.bronze_table(bank.job_lake, n).read().select(F.lit(n).alias("table_name"), "_batch_id") for n in names]
+    both = rows[0].unionByName(rows[1])
+    return both.groupBy("table_name", F.col("_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def job_audit(bank: Bank) -> DataFrame:
+    log = AuditLog(bank.job_lake, "bronze").read()
+    return log.select("table_name", "batch_id", "run_mode", "status", "rows_ingested")
+
+
+@query
+def job_dim_account(bank: Bank) -> DataFrame:
+    return bank.job_table("dim_account").select("account_id", "customer_id", "status", "balance", "_silver_batch_id")
+
+
+@query
+def silver_scd2_rerun(bank: Bank) -> DataFrame:
+    return bank.job_table("dim_customer").select(*scd.version_columns(TABLES["dim_customer"]))
+
+
+@query
+def silver_fact_rerun(bank: Bank) -> DataFrame:
+    columns = ["txn_id", "account_id", "txn_date", "amount", "channel", "status"]
+    return bank.job_table("fct_bank_transactions").select(*columns, "_silver_batch_id")
+
+
+@query
+def job_mart(bank: Bank) -> DataFrame:
+    return gold.gold_table(bank.job_lake, "mart_customer_360").read().select(*mart.MART_COLUMNS)
+
+
 # --- verification -----------------------------------------------------------------------------
 
 
