@@ -174,6 +174,7 @@ def pack_documents(
                 )
                 for full in open_ones.add(pieces):
                     yield from full.to_batches()
+        encode.forget()
         for left in open_ones.rest():
             yield from left.to_batches()
 

@@ -94,6 +94,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, sequence_length:
                         n_waiting %= whole
             if n_waiting:
                 rows.write_batch(_sequences(np.concatenate(waiting), schema, sequence_length))
+        encode.forget()
         if n_docs:
             shard = TaskContext.get().partitionId()
             yield pa.record_batch(

@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 from .common import ragged
 
-#: Words kept in one worker process; the store is emptied when it is full, which costs time only.
-WORDS_KEPT = 1_000_000
+#: Words kept by a task; the store is emptied when it is full, which costs time only.
+WORDS_KEPT = 700_000
 #: Words are joined to texts of this many words for the library.
 WORDS_A_CALL = 64
 #: Marks that are tokens of their own after a plain word, and the last letter of plain words:
@@ -55,10 +55,11 @@ class Encoder:
         self.ends_word = np.zeros(self.vocabulary, bool)
         self.ends_word[[i for w, i in names.items() if w.endswith("</w>")]] = True
         self.known: dict[str, int] = {}
-        self._empty()
+        self.forget()
 
-    def _empty(self) -> None:
-        self.known.clear()
+    def forget(self) -> None:
+        """Give the memory back; worker processes outlive their tasks."""
+        self.known = {}
         self.pool = np.empty(1 << 20, np.uint32)
         self.bounds = np.zeros(1 << 16, np.int64)
         self.used = 0
@@ -131,7 +132,7 @@ class Encoder:
         codes = coded.indices.to_numpy()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) + len(distinct) > WORDS_KEPT:
-            self._empty()
+            self.forget()
         index = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
         missing = np.flatnonzero(index < 0)
         if len(missing):
