@@ -6,12 +6,11 @@ and white space into blanks, so ``1d!0t`` is ``idiot``.
 
 *Lexicon.* Whole words, and beginnings of words of ``PREFIX`` letters, get as weight the log of the
 ratio of the shares of toxic and other labelled documents that have them. All labelled rows count;
-terms stay whose number of toxic documents is ``LEAST_Z`` standard deviations above chance, the
-``LEXICON_TERMS`` clearest of them. ``SEED`` words have a weight where the labels say nothing.
+terms stay whose number of toxic documents is ``LEAST_Z`` standard deviations above chance and whose
+weight is ``LEAST_WEIGHT`` at least, the ``LEXICON_TERMS`` clearest of them. ``SEED`` words have a weight where the labels say nothing.
 
 *Score.* A word counts with its heaviest term unless it stands in one of the exception phrases. The
-sum of weights, and that sum divided by the number of words, go through a logistic function, which
-is fitted on at most ``FIT_ROWS`` labelled rows (those with the smallest hash of the id).
+sum of weights, divided by the number of words, goes through a logistic function, which is fitted on about ``FIT_ROWS`` labelled rows, dealt by a hash of the id, or all if there are fewer.
 
 Defined results: NULL and empty texts have no words and the score of a text without a hit; labels
 other than 0 and 1 aren't used, of several labels of an id the largest is; without any label
@@ -35,12 +34,13 @@ from .common import documents, in_slices, strings
 
 PREFIX = 6
 LEAST_Z = 5.0
+LEAST_WEIGHT = 3.0
 LEXICON_TERMS = 20_000
 FIT_ROWS = 20_000
 #: Labels up to this many rows (16 bytes each) are broadcast; more are joined by a shuffle.
 LABELS_BROADCAST = 1_000_000
-TERMS_A_FLUSH = 300_000
-UNFITTED = np.array([-3.0, 1.2, 0.0])
+TERMS_A_FLUSH = 150_000
+UNFITTED = np.array([-3.0, 1.5])
 
 # The lexicon where labels say nothing, phrases that are harmless, and look-alikes.
 SEED = dict.fromkeys(("idiot", "moron", "scum", "stupid", "pathetic", "worthless", "disgusting", "loser"), 2.0)
@@ -111,7 +111,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     n = F.col("toxic") + F.col("clean")
     z = (F.col("toxic") - n * share) / F.sqrt(n * share * (1 - share))
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    best = _counts(rows).select("term", weight.alias("weight"), z.alias("z")).filter(F.col("z") >= LEAST_Z)
+    best = _counts(rows).select("term", weight.alias("weight"), z.alias("z")).filter((F.col("z") >= LEAST_Z) & (F.col("weight") >= LEAST_WEIGHT))
     for row in best.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).collect():
         weights[row.term] = row.weight
     return weights
@@ -135,8 +135,8 @@ class Lexicon:
         return found
 
 
-def features(text: str, automaton) -> tuple[float, float]:
-    """The sum of weights, and 100 times that sum for each word."""
+def density(text: str, automaton) -> float:
+    """The sum of weights for each 100 words."""
     folded = fold(text)
     n_words = len(folded.split())
     best: dict[int, float] = {}
@@ -148,7 +148,11 @@ def features(text: str, automaton) -> tuple[float, float]:
         elif weight > best.get(begin, 0.0):
             best[begin] = weight
     total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in spared))
-    return total, 100 * total / max(n_words, 1)
+    return 100 * total / max(n_words, 1)
+
+
+def densities(texts: pa.Array, automaton) -> np.ndarray:
+    return np.array([density(t, automaton) for t in texts.to_pylist()], float)
 
 
 def _scored(rows: DataFrame, lexicon: Lexicon, extra: str, columns: list[str]) -> DataFrame:
@@ -157,23 +161,23 @@ def _scored(rows: DataFrame, lexicon: Lexicon, extra: str, columns: list[str]) -
         for batch in batches:
             texts = strings(batch)
             for low, high in in_slices(texts, 1 << 20):
-                found = np.array([features(t, automaton) for t in texts.slice(low, high - low).to_pylist()]).reshape(-1, 2)
                 own = [batch.column(c).slice(low, high - low) for c in columns]
-                yield pa.record_batch([*own, found[:, 0].copy(), found[:, 1].copy()], names=[*columns, "total", "density"])
+                found = densities(texts.slice(low, high - low), automaton)
+                yield pa.record_batch([*own, found], names=[*columns, "density"])
 
-    return rows.select(*columns, "text").mapInArrow(score, f"{extra}, total double, density double")
+    return rows.select(*columns, "text").mapInArrow(score, f"{extra}, density double")
 
 
-def fit(total: np.ndarray, density: np.ndarray, label: np.ndarray) -> np.ndarray:
+def fit(density: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Coefficients of the logistic function by Newton's steps, slightly drawn to 0."""
     if len(np.unique(label)) < 2:
         return UNFITTED
-    x = np.column_stack([np.ones(len(label)), np.log1p(density), np.log1p(total)])
-    at = np.zeros(3)
+    x = np.column_stack([np.ones(len(label)), np.log1p(density)])
+    at = np.zeros(2)
     for _ in range(30):
         p = 1 / (1 + np.exp(-x @ at))
         slope = x.T @ (label - p) - 1e-2 * at
-        at = at + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3), slope)
+        at = at + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2), slope)
     return at
 
 
@@ -190,16 +194,17 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         marked = F.broadcast(marked)
     rows = documents(docs).join(marked, "doc_id")
     lexicon = Lexicon(learn_lexicon(rows))
-    few = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    known = np.array(_scored(few, lexicon, "toxic long", ["toxic"]).collect()).reshape(-1, 3)
-    return Model(lexicon, fit(known[:, 1], known[:, 2], known[:, 0]))
+    n = rows.count()
+    few = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(n, 1))) < fit_rows)
+    known = np.array(_scored(few, lexicon, "toxic long", ["toxic"]).collect()).reshape(-1, 2)
+    return Model(lexicon, fit(known[:, 1], known[:, 0]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and ``score`` of each row."""
-    a, b, c = (float(x) for x in model.coefficients)
+    a, b = (float(x) for x in model.coefficients)
     found = _scored(documents(docs), model.lexicon, "doc_id long", ["doc_id"])
-    return found.select("doc_id", (1 / (1 + F.exp(-(a + b * F.log1p("density") + c * F.log1p("total"))))).alias("score"))
+    return found.select("doc_id", (1 / (1 + F.exp(-(a + b * F.log1p("density"))))).alias("score"))
 
 
 def clean_documents(docs: DataFrame, model: Model, below: float = 0.5) -> DataFrame:
@@ -207,7 +212,7 @@ def clean_documents(docs: DataFrame, model: Model, below: float = 0.5) -> DataFr
     import pyspark.sql.types as T
 
     schema = T.StructType([*docs.schema.fields])
-    a, b, c = (float(x) for x in model.coefficients)
+    a, b = (float(x) for x in model.coefficients)
     lexicon = model.lexicon
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +220,8 @@ def clean_documents(docs: DataFrame, model: Model, below: float = 0.5) -> DataFr
         for batch in batches:
             texts = strings(batch)
             for low, high in in_slices(texts, 1 << 20):
-                found = np.array([features(t, automaton) for t in texts.slice(low, high - low).to_pylist()]).reshape(-1, 2)
-                value = 1 / (1 + np.exp(-(a + b * np.log1p(found[:, 1]) + c * np.log1p(found[:, 0]))))
+                found = densities(texts.slice(low, high - low), automaton)
+                value = 1 / (1 + np.exp(-(a + b * np.log1p(found))))
                 yield batch.slice(low, high - low).filter(pa.array(value < below))
 
     return docs.mapInArrow(choose, schema)
