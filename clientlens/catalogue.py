@@ -64,7 +64,7 @@ AUDIT_SQL = """
            event_type AS table_name,
            'events' AS source_system,
            CASE WHEN event_id % 3 = 0 THEN 'full_snapshot' ELSE 'incremental' END AS run_mode,
-           CASE WHEN event_id % 5 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+           CASE WHEN event_id % 5 = 0 OR event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
            CAST(floor(value) AS BIGINT) AS rows_ingested,
            CAST(ts AS TIMESTAMP) AS current_run_time
     FROM {events}

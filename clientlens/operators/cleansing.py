@@ -39,15 +39,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
     The ``row_number() = 1`` filter lets Spark discard all but one row per key on the map side,
     before the shuffle, so a key that owns a large share of the rows costs no more than any other.
+    Columns that can't be ordered (maps, variants) can't break ties; frames with one are refused.
     """
+    unordered = [f.name for f in df.schema if isinstance(f.dataType, (MapType, VariantType))]
+    if unordered:
+        raise ValueError(f"rows can't be ordered by {', '.join(unordered)}: cast or drop them first")
     leading = [c for c in order_by if c in df.columns]
-    ties = [
-        f.name
-        for f in df.schema
-        if f.name not in keys
-        and f.name not in leading
-        and not isinstance(f.dataType, (MapType, VariantType))
-    ]
+    ties = [c for c in df.columns if c not in keys and c not in leading]
     newest_first = Window.partitionBy(*keys).orderBy(
         *[F.desc_nulls_last(c) for c in leading + ties] or [F.lit(1)]
     )

@@ -10,8 +10,8 @@ _BODIES: dict[str, str] = {}
 _BODIES["incremental_window"] = """
     SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-20'"""
 _BODIES["audit_watermark"] = """
-    SELECT table_name, max(current_run_time) FILTER (WHERE status = 'SUCCESS') AS last_run_time
-    FROM audit GROUP BY table_name"""
+    SELECT table_name, max(current_run_time) AS last_run_time
+    FROM audit WHERE status = 'SUCCESS' GROUP BY table_name"""
 _BODIES["bronze_metadata"] = """
     SELECT *, TIMESTAMP '2000-01-01' AS _ingested_at, 'oracle' AS _source_system, 'batch1' AS _batch_id
     FROM src_bank_accounts"""

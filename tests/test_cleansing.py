@@ -68,3 +68,11 @@ def test_alignment_casts_fills_and_drops(spark):
         ("P2", None, None),
     ]
     assert dropped_columns(df, schema) == ["extra"]
+
+
+def test_columns_without_an_order_are_refused(spark):
+    import pytest
+
+    frame = spark.sql("SELECT 1 AS k, map('a', 1) AS m")
+    with pytest.raises(ValueError, match="ordered by m"):
+        cleansing.latest_per_key(frame, ["k"], [])
