@@ -9,7 +9,7 @@ threshold misses with a probability of ``MISS`` at most. Pairs are found, counte
 2. *Prefix.* Two signatures that agree in ``t`` of ``n`` coordinates agree in one of the first
    ``n - t + 1``, so only these are posted under their (coordinate, value).
 3. *Skip.* Posting lists of one class make no pair. A long list makes a star: each member with the
-   smallest one, so copies of a text make as many pairs as there are copies, not their square.
+   one that shares most with others, so copies of a text make as many pairs as there are copies, not their square.
    After the components of the confirmed pairs are known, lists inside one component are skipped;
    in the others only pairs between components are made, from the members outside the list's
    largest component. So every pair that may be the only link between two components is looked at,
@@ -161,7 +161,7 @@ def overlaps(members: DataFrame, tried: DataFrame, texts: DataFrame, width: int)
       the member has; NULL for centres, and for documents of several texts.
     * ``lacks``: ``BITS`` bits of the centre's shingles that it hasn't got, by their hash.
     """
-    starred = tried.join(members.withColumnRenamed("rep", "b"), "b", "left_semi").groupBy("b").agg(F.min("a").alias("a"))
+    starred = tried.join(members.withColumnRenamed("rep", "b"), "b", "left_semi").groupBy("b").agg(F.max_by("a", F.struct("weight", "a")).alias("a"))
     centres = starred.select(F.col("a").alias("rep")).distinct()
     leaves = materialise(starred.join(centres.withColumnRenamed("rep", "b"), "b", "left_anti").select("a", "b"), "leaves")
     words = [f"w{i}" for i in range(BITS // 64)]
@@ -220,7 +220,7 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     own = classes.select("rep", "coordinates")
     both = pairs.join(own.toDF("a", "of_a"), "a").join(own.toDF("b", "of_b"), "b")
     agree = F.size(F.filter(F.zip_with("of_a", "of_b", lambda x, y: x == y), lambda same: same))
-    return both.filter(agree >= least).select("a", "b")
+    return both.filter(agree >= least).select(pairs.columns)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -243,14 +243,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = materialise(classes, "classes")
     prefix = F.slice("coordinates", 1, COORDINATES - least + 1)
     posted = classes.select("rep", F.explode(prefix).alias("value"))
-    shared = posted.groupBy("value").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    posted = materialise(posted.join(shared.select("value", "a"), "value"), "posted")
+    lengths = posted.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialise(posted.join(lengths, "value"), "shared")
+    # The centre of a list is its member that shares most with others: of copies that were changed
+    # here and there, the one that was changed least.
+    weights = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
+    weighed = shared.join(weights, "rep").select("value", "rep", "weight")
+    first = F.max(F.struct("weight", (-F.col("rep")).alias("minus")))
+    centres = weighed.groupBy("value").agg(first.alias("c")).select("value", (-F.col("c.minus")).alias("a"), "c.weight")
+    posted = materialise(shared.select("value", "rep").join(centres, "value"), "posted")
 
     # The texts of all documents that share a coordinate with another one, once.
     texts = documents(docs).withColumnRenamed("doc_id", "rep").join(posted.select("rep").distinct(), "rep", "left_semi")
     texts = materialise(texts.withColumn("key", F.xxhash64("text")).dropDuplicates(["rep", "key"]).drop("key"), "texts")
 
-    tried = posted.filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    tried = posted.filter("a <> rep").groupBy("a", F.col("rep").alias("b")).agg(F.max("weight").alias("weight"))
     tried = materialise(_agreeing(tried, classes, least), "pairs")
     links = materialise(confirmed(tried, texts, width, percent), "linked")
     roots = components(links)
@@ -282,7 +289,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .filter(both * 100 >= (F.col("size") + F.col("x_size") - both) * percent)
         .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
         .distinct()
-        .join(tried, ["a", "b"], "left_anti")
+        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
     across = materialise(_agreeing(across, classes, least), "pairs")
     more = materialise(confirmed(across, texts, width, percent), "linked")

@@ -85,7 +85,7 @@ def test_repeated_rows_and_rows_without_id(docs_of):
 def test_what_members_can_have_in_common(spark):
     rows = [(1, "a b c d e f"), (2, "a b c d x e"), (3, "a b c y x f"), (4, "q r s"), (5, "a b z c d f")]
     texts = spark.createDataFrame(rows, "rep long, text string")
-    tried = spark.createDataFrame([(1, 2), (1, 3), (1, 5)], "a long, b long")
+    tried = spark.createDataFrame([(1, 2, 9), (1, 3, 9), (1, 5, 9), (4, 5, 2)], "a long, b long, weight long")
     members = spark.createDataFrame([(2,), (3,), (4,), (5,)], "rep long")
     facts = minhash.overlaps(members, tried, texts, 1).cache()
     found = {r.rep: (r.alone, r.centre, r.whole, r.common) for r in facts.collect()}
