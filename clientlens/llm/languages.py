@@ -6,9 +6,8 @@ mean over its positions. Gates are clipped lines (0 to 1) and candidates are cli
 a step needs no exponential. A text is read in windows of ``WINDOW`` bytes that begin with states
 of 0, thousands of them side by side; windows of all documents of a slice fill the same arrays.
 
-Training is backpropagation through time in numpy, on at most ``DOCS_A_LANGUAGE`` documents of each
-language, those with the smallest hash of the id, and ``PARTS`` windows of each, dealt evenly over
-its text. Everything else covers whole texts.
+Training is backpropagation through time in numpy, on about ``DOCS_A_LANGUAGE`` documents of each
+language, dealt by a hash of the id, and ``PARTS`` windows of each, dealt evenly over its text. Everything else covers whole texts.
 
 Defined results: a text that is NULL or has no letter is ``und`` with score 0; without any labelled
 row all are ``und``; rows without id and repeated rows are labelled each for itself; no rows give no
@@ -23,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, in_slices, ragged
@@ -38,6 +37,7 @@ STEPS = 240
 BATCH = 192
 #: Slope with which errors pass a clipped gate, so that it can open again.
 LEAK = 0.05
+WIDE_OPEN = 1e4
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
@@ -54,6 +54,9 @@ class Direction:
     def new(cls, rng: np.random.Generator) -> Direction:
         table = rng.normal(0, 0.3, (256, 3 * UNITS)).astype("f4")
         table[:, : 2 * UNITS] += 0.5
+        # Byte 0 fills windows up: the gate is wide open and the state stays as it is.
+        table[0] = 0
+        table[0, :UNITS] = WIDE_OPEN
         scale = 0.5 / np.sqrt(UNITS)
         return cls(table, rng.normal(0, scale, (UNITS, 2 * UNITS)).astype("f4"), rng.normal(0, scale, (UNITS, UNITS)).astype("f4"))
 
@@ -101,6 +104,7 @@ class Direction:
             d_added[t, :, : 2 * UNITS], d_added[t, :, 2 * UNITS :] = d_gate, d_new
         d_table = np.zeros_like(self.table)
         np.add.at(d_table, steps.ravel(), d_added.reshape(-1, 3 * UNITS))
+        d_table[0] = 0
         return [d_table, d_gates, d_candidate]
 
 
@@ -166,10 +170,12 @@ def train(names: list[str], windows: np.ndarray, labels: np.ndarray, seed: int =
 
 def learn(docs: DataFrame, docs_a_language: int = DOCS_A_LANGUAGE) -> Network | None:
     """Learn from ``text`` and ``lang`` of the rows that have both."""
-    hashed = F.xxhash64("doc_id")
-    few = Window.partitionBy("lang").orderBy(hashed, "doc_id")
     known = docs.filter("lang IS NOT NULL AND length(text) > 0").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    known = known.withColumn("nth", F.row_number().over(few)).filter(F.col("nth") <= docs_a_language)
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    of_language = F.create_map(*(F.lit(x) for pair in counts.items() for x in pair))[F.col("lang")]
+    known = known.filter(F.pmod(F.xxhash64("doc_id"), of_language) < docs_a_language)
     places = F.sequence(F.lit(0), F.lit(PARTS - 1))
     parts = F.transform(places, lambda i: F.substr("text", (F.length("text") * i / PARTS).cast("int") + 1, F.lit(TRAINED_BYTES)))
     rows = known.select("lang", F.hash("doc_id").alias("nth"), F.explode(parts).alias("part")).orderBy("lang", "nth", "part").collect()
