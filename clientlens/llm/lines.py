@@ -10,6 +10,10 @@ last word in which one goes; documents that lose nothing have no row. Text isn't
 Defined results: NULL or empty text is one empty line, which has no key and stays. All rows without
 id count as one document. Rows with the same id are one document for the count and keep a bitmap
 each if their texts differ. No rows give no rows; further columns stay in :func:`kept_lines`.
+
+With ``copies``, documents of one group of copies count once. A line that is common only because
+it was copied with its document stays where it is first in that group, so the group's text stays
+once; a line in enough different documents goes from all, as without ``copies``.
 """
 
 from __future__ import annotations
@@ -50,11 +54,14 @@ def hashed_lines(docs: DataFrame, least_chars: int = 1) -> DataFrame:
     return keyed.select("doc_id", "of_text", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), F.col("key")).alias("h2"))
 
 
-def keep_bitmaps(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, keep_first: bool = False) -> DataFrame:
+def keep_bitmaps(
+    docs: DataFrame, least_docs: int = 10, least_chars: int = 1, keep_first: bool = False, copies: DataFrame | None = None
+) -> DataFrame:
     """``doc_id``, ``of_text``, ``n_dropped`` and ``keep`` of each document that loses lines.
 
     Keys of at least ``least_chars`` code points in at least ``least_docs`` documents lose all
     their lines, or with ``keep_first`` all but the first one by document and position.
+    ``copies`` (``doc_id``, ``group``; one row for an id) has the documents that are copies of others.
     """
     lines = materialise(hashed_lines(docs, least_chars), "lines")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -70,6 +77,8 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, ke
     gone = lines.join(common.filter(F.col("n_docs") >= least_docs), ["h1", "h2"])
     if keep_first:
         gone = gone.filter(~F.struct("doc_id", "of_text", "pos").eqNullSafe(F.col("first")))
+    if copies is not None:
+        gone = _without_firsts_of_groups(gone.select(lines.columns), copies, least_docs)
     bit = F.expr(f"shiftleft(1L, pos % {WORD})")
     words = gone.groupBy("doc_id", "of_text", F.expr(f"pos div {WORD}").alias("word")).agg(F.bit_or(bit).alias("bits"))
     gathered = words.groupBy("doc_id", "of_text").agg(
@@ -82,6 +91,23 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, ke
     return gathered.select("doc_id", "of_text", F.col("n_dropped").cast("long").alias("n_dropped"), dense.alias("keep"))
 
 
+def _without_firsts_of_groups(common: DataFrame, copies: DataFrame, least_docs: int) -> DataFrame:
+    """The occurrences of common lines that go: of a key in ``least_docs`` groups all, of others all
+    but the first in each group that has it in ``least_docs`` documents."""
+    grouped = common.join(copies, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id"))
+    grouped = materialise(grouped, "common-lines")
+    place = F.struct("doc_id", "of_text", "pos")
+    by_document = grouped.groupBy("h1", "h2", "group", "doc_id").agg(F.min(place).alias("first"))
+    by_group = by_document.groupBy("h1", "h2", "group").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"))
+    by_group = materialise(by_group, "groups-of-lines")
+    spread = by_group.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_groups")).filter(F.col("n_groups") >= least_docs)
+    everywhere = grouped.join(spread, ["h1", "h2"], "left_semi")
+    copied = by_group.filter(F.col("n_docs") >= least_docs).join(spread, ["h1", "h2"], "left_anti")
+    # Rows without id are one document, so no group of theirs has enough.
+    again = grouped.join(copied, ["h1", "h2", "group"]).filter(~place.eqNullSafe(F.col("first")))
+    return everywhere.select(common.columns).unionByName(again.select(common.columns))
+
+
 def kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """For each document ``row``, a struct of all its columns, with ``n_lines``, ``n_dropped`` and
     ``kept``, the array of lines that stay."""
@@ -100,8 +126,15 @@ def kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
 
 
-def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) -> DataFrame:
-    """The documents with the text of the lines that stay, joined by a line break."""
-    kept = kept_lines(docs, keep_bitmaps(docs, least_docs, least_chars))
+def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, copies: DataFrame | None = None) -> DataFrame:
+    """The documents with the text of the lines that stay, joined by a line break. ``copies`` as in
+    :func:`keep_bitmaps`; those of them that have lost lines and have only blank ones left are
+    dropped."""
+    kept = kept_lines(docs, keep_bitmaps(docs, least_docs, least_chars, copies=copies))
+    if copies is not None:
+        marked = copies.select(F.col("doc_id").alias("copy_id"))
+        kept = kept.join(marked, F.col("row.doc_id") == F.col("copy_id"), "left")
+        blank = ~F.exists("kept", lambda line: F.length(line_key(line)) > 0)
+        kept = kept.filter(~(F.col("copy_id").isNotNull() & (F.col("n_dropped") > 0) & blank))
     text = F.when(F.col("row.text").isNotNull(), F.array_join("kept", "\n")).alias("text")
     return kept.select(*(text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

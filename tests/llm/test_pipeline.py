@@ -84,6 +84,25 @@ def test_stages_keep_the_columns(spark, planted):
         assert stage(spark, docs.limit(0), folder).count() == 0
 
 
+def test_groups_of_many_copies_keep_their_text(spark):
+    rng = random.Random(6)
+    notice = "All Rights Reserved"
+    copied = "\n".join([*(prose(rng, 30) for _ in range(8)), notice])
+    near = [prose(rng, 60) for _ in range(12)]
+    small = f"{prose(rng, 40)}\n{near[0]}"
+    rows = [(i, copied) for i in range(20, 45)] + [(i, small) for i in range(60, 63)]
+    for i in range(100, 112):
+        rows.append((i, "\n".join(line if k != i - 100 else f"{line} {prose(rng, 1)}{i}" for k, line in enumerate(near))))
+    own = {i: prose(rng, 50) for i in range(200, 212)}
+    rows += [(i, f"{text}\n{notice}") for i, text in own.items()]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = corpus_pipeline.drop_common_lines(spark, docs, "")
+    found = {r.doc_id: r.text for r in corpus_pipeline.keep_one_copy(spark, lines, "").collect()}
+    # Of near copies the first stays whole; a line that is another one's own stays with it.
+    assert {i: t for i, t in found.items() if not 100 < i < 112} == own | {20: copied.removesuffix(f"\n{notice}"), 60: small, 100: rows[28][1]}
+    assert all(text in dict(rows)[i] and len(text) < len(near[0]) * 3 for i, text in found.items() if 100 < i < 112)
+
+
 def test_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
