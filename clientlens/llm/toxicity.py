@@ -6,8 +6,11 @@ and white space into blanks, so ``1d!0t`` is ``idiot``.
 
 *Lexicon.* Whole words, and beginnings of words of ``PREFIX`` letters, get as weight the log of the
 ratio of the shares of toxic and other labelled documents that have them. All labelled rows count;
-terms stay whose number of toxic documents is ``LEAST_Z`` standard deviations above chance and whose
-weight is ``LEAST_WEIGHT`` at least, the ``LEXICON_TERMS`` clearest of them. ``SEED`` words have a weight where the labels say nothing.
+every term stays whose number of toxic documents is ``LEAST_Z`` standard deviations above chance and
+whose weight is ``LEAST_WEIGHT`` at least. ``SEED`` words have a weight where the labels say nothing.
+A lexicon of more than ``LEXICON_TERMS`` terms is a table, dealt to blocks of about that many by the
+first ``PREFIX`` letters, so all terms of a word are in one block and the sums of blocks add up. All
+texts are read against each block; their sums meet by two hashes of the text.
 
 *Score.* A word counts with its heaviest term unless it stands in one of the exception phrases. The
 sum of weights, divided by the number of words, goes through a logistic function, which is fitted on about ``FIT_ROWS`` labelled rows, dealt by a hash of the id, or all if there are fewer.
@@ -22,19 +25,21 @@ from __future__ import annotations
 
 import re
 import string
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, in_slices, strings
+from .common import documents, in_slices, materialise, strings
 
 PREFIX = 6
 LEAST_Z = 5.0
 LEAST_WEIGHT = 3.0
+#: Terms that go to the executors at once; no more than a block of them is on the driver.
 LEXICON_TERMS = 20_000
 FIT_ROWS = 20_000
 #: Labels up to this many rows (16 bytes each) are broadcast; more are joined by a shuffle.
@@ -101,20 +106,22 @@ def _counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+def learn_lexicon(rows: DataFrame) -> Lexicon | WideLexicon:
     """Terms and weights from labelled rows (``text``, ``toxic`` 0 or 1)."""
     weights = {term: w for word, w in SEED.items() for term in terms_of(fold(word).strip())[:1]}
     clean, toxic = rows.agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
     if not toxic or not clean:
-        return weights
+        return Lexicon(weights)
     share = toxic / (toxic + clean)
     n = F.col("toxic") + F.col("clean")
     z = (F.col("toxic") - n * share) / F.sqrt(n * share * (1 - share))
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     best = _counts(rows).select("term", weight.alias("weight"), z.alias("z")).filter((F.col("z") >= LEAST_Z) & (F.col("weight") >= LEAST_WEIGHT))
-    for row in best.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).collect():
-        weights[row.term] = row.weight
-    return weights
+    best = materialise(best.select("term", "weight"), "lexicon")
+    n_terms = best.count()
+    if n_terms > LEXICON_TERMS:
+        return WideLexicon(best, weights, -(-n_terms // LEXICON_TERMS))
+    return Lexicon(weights | {row.term: row.weight for row in best.collect()})
 
 
 @dataclass
@@ -135,6 +142,20 @@ class Lexicon:
         return found
 
 
+@dataclass
+class WideLexicon:
+    """A lexicon in ``blocks`` parts: a table of ``term`` and ``weight``, and words for what it lacks."""
+
+    terms: DataFrame
+    seed: dict[str, float]
+    blocks: int
+
+    def block(self, number: int) -> Lexicon:
+        own = self.terms.filter(F.crc32(F.substring("term", 2, PREFIX)) % self.blocks == number)
+        seed = {t: w for t, w in self.seed.items() if zlib.crc32(t[1 : 1 + PREFIX].encode()) % self.blocks == number}
+        return Lexicon(seed | {row.term: row.weight for row in own.collect()})
+
+
 def density(text: str, automaton) -> float:
     """The sum of weights for each 100 words."""
     folded = fold(text)
@@ -168,6 +189,34 @@ def _scored(rows: DataFrame, lexicon: Lexicon, extra: str, columns: list[str]) -
     return rows.select(*columns, "text").mapInArrow(score, f"{extra}, density double")
 
 
+def _text_hashes() -> list[Column]:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")]
+
+
+def _beside_densities(rows: DataFrame, lexicon: WideLexicon) -> DataFrame:
+    """``row``, a struct of all columns, and ``density`` over all blocks of the lexicon."""
+    keyed = rows.select(*_text_hashes(), F.col("text").cast("string").alias("text"))
+    found = None
+    for number in range(lexicon.blocks):
+        scored = _scored(keyed, lexicon.block(number), "h1 long, h2 long", ["h1", "h2"]).filter("density > 0")
+        part = materialise(scored.groupBy("h1", "h2").agg(F.max("density").alias("part")).withColumn("number", F.lit(number)), "densities")
+        found = part if found is None else found.unionByName(part)
+    # In the order of the blocks, so that a run gives the same sum as another.
+    parts = F.sort_array(F.collect_list(F.struct("number", "part")))
+    total = F.aggregate(parts, F.lit(0.0), lambda done, p: done + p.part)
+    sums = found.groupBy("h1", "h2").agg(total.alias("total"))
+    marked = rows.select(F.struct("*").alias("row"), *_text_hashes())
+    return marked.join(sums, ["h1", "h2"], "left").select("row", F.coalesce("total", F.lit(0.0)).alias("density"))
+
+
+def with_density(rows: DataFrame, lexicon: Lexicon | WideLexicon, extra: str, columns: list[str]) -> DataFrame:
+    """The ``columns`` of each row and its ``density``."""
+    if isinstance(lexicon, Lexicon):
+        return _scored(rows, lexicon, extra, columns)
+    return _beside_densities(rows, lexicon).select(*(F.col("row")[c].alias(c) for c in columns), "density")
+
+
 def fit(density: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Coefficients of the logistic function by Newton's steps, slightly drawn to 0."""
     if len(np.unique(label)) < 2:
@@ -183,7 +232,7 @@ def fit(density: np.ndarray, label: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    lexicon: Lexicon
+    lexicon: Lexicon | WideLexicon
     coefficients: np.ndarray
 
 
@@ -193,17 +242,17 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     if labels.limit(LABELS_BROADCAST + 1).count() <= LABELS_BROADCAST:
         marked = F.broadcast(marked)
     rows = documents(docs).join(marked, "doc_id")
-    lexicon = Lexicon(learn_lexicon(rows))
+    lexicon = learn_lexicon(rows)
     n = rows.count()
     few = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(n, 1))) < fit_rows)
-    known = np.array(_scored(few, lexicon, "toxic long", ["toxic"]).collect()).reshape(-1, 2)
+    known = np.array(with_density(few, lexicon, "toxic long", ["toxic"]).collect()).reshape(-1, 2)
     return Model(lexicon, fit(known[:, 1], known[:, 0]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and ``score`` of each row."""
     a, b = (float(x) for x in model.coefficients)
-    found = _scored(documents(docs), model.lexicon, "doc_id long", ["doc_id"])
+    found = with_density(documents(docs), model.lexicon, "doc_id long", ["doc_id"])
     return found.select("doc_id", (1 / (1 + F.exp(-(a + b * F.log1p("density"))))).alias("score"))
 
 
@@ -214,6 +263,10 @@ def clean_documents(docs: DataFrame, model: Model, below: float = 0.5) -> DataFr
     schema = T.StructType([*docs.schema.fields])
     a, b = (float(x) for x in model.coefficients)
     lexicon = model.lexicon
+    if isinstance(lexicon, WideLexicon):
+        value = 1 / (1 + F.exp(-(a + b * F.log1p("density"))))
+        kept = _beside_densities(docs, lexicon).filter(value < below)
+        return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()

@@ -54,6 +54,23 @@ def test_learning(labelled):
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {i for i in range(400) if i % 4} | {900, 901, 902}
 
 
+def test_a_lexicon_beyond_one_block_is_whole(labelled, docs_of, monkeypatch):
+    docs, labels = labelled
+    more = docs_of(*((i, f"vileword calm w{i} blightful") for i in range(0, 300, 4)), (903, "trash can idiot blightful"), (904, "idiot vileword"))
+    docs = docs.union(more)
+    whole = toxicity.learn(docs, labels)
+    monkeypatch.setattr(toxicity, "LEXICON_TERMS", 1)
+    model = toxicity.learn(docs, labels)
+    blocks = [model.lexicon.block(i).weights for i in range(model.lexicon.blocks)]
+    terms = [t for b in blocks for t in b]
+    assert len(blocks) > 2 and len(terms) == len(set(terms)) and {t: w for b in blocks for t, w in b.items()} == whole.lexicon.weights
+    assert np.allclose(model.coefficients, whole.coefficients)
+    scores = [sorted((r.doc_id or -1, round(r.score, 9)) for r in toxicity.score(docs, m).collect()) for m in (whole, model)]
+    assert scores[0] == scores[1]
+    clean = [sorted(tuple(map(str, r)) for r in toxicity.clean_documents(docs, m).collect()) for m in (whole, model)]
+    assert clean[0] == clean[1] and toxicity.clean_documents(docs, model).columns == docs.columns
+
+
 def test_without_labels(docs_of, no_docs, labelled):
     _, labels = labelled
     model = toxicity.learn(docs_of((1, "you idiot"), (2, "fine")), labels.limit(0))
