@@ -13,8 +13,11 @@ measured size asks for at ``BLOCK_CHARS`` each; each block is broadcast and all
 against it. A block that grew beyond ``MOST_CHARS`` (a single huge item) is an error.
 
 The edit budget is ``edits`` per code point; for short items it is lowered until the lemma asks for
-one q-gram. Items longer than ``WINDOW`` are looked for in windows that overlap by half, so a
-document that quotes a part is found too. Defined results: items shorter than q and NULL texts match
+one q-gram. Items longer than ``WINDOW`` are looked for in windows that overlap by half, and in
+short windows of ``SHORT`` code points that overlap by half too. A verbatim quote of ``QUOTE`` code
+points (191; 50 words of 2.8 letters) has a whole short window, so each is found, and longer ones
+with as many edits as their windows allow. A short window has no row of its own where it lies in
+an occurrence of a longer one of its item. Defined results: items shorter than q and NULL texts match
 nothing; rows without id and repeated rows are matched each for itself; no items or no documents
 give no rows; further columns are left out.
 """
@@ -35,6 +38,9 @@ from .shingles import MIX, mixed
 Q = 8
 EDITS = 0.1
 WINDOW = 512
+SHORT = 128
+#: The shortest quote of a long item that is found wherever it begins.
+QUOTE = SHORT + SHORT // 2 - 1
 BLOCK_CHARS = 4_000_000
 MOST_CHARS = 64_000_000
 MATCHES = "doc_id long, item_id long, begin long, end long, edits long"
@@ -71,10 +77,12 @@ def grams(points: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """The q-gram index of some items, as arrays. A piece is a whole item or a window of one."""
+    """The q-gram index of some items, as arrays. A piece is a whole item or a window of one; long
+    windows of an item come before short ones; ``sources`` has the number of the item's text."""
 
     pieces: list[np.ndarray]
     items: np.ndarray
+    sources: np.ndarray
     budgets: np.ndarray
     least: np.ndarray
     shifts: np.ndarray
@@ -85,18 +93,26 @@ class Block:
     filter: np.ndarray
 
 
+def windows(points: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Pieces of ``size`` that overlap by half or more; the last one ends where ``points`` do."""
+    step = size // 2
+    for at in range(0, len(points) - size + step, step):
+        yield points[at : at + size] if at + size <= len(points) else points[-size:]
+
+
 def index(items: list[tuple[int, str]], edits: float = EDITS) -> Block | None:
     """The index; None if no item is long enough."""
-    pieces, ids = [], []
-    for item, text in items:
+    pieces, ids, sources = [], [], []
+    for source, (item, text) in enumerate(items):
         points = normalised(text)[0]
         if len(points) and points[-1] == 32:
             points = points[:-1]
-        step = len(points) if len(points) <= WINDOW else WINDOW // 2
-        for at in range(0, max(len(points) - WINDOW, 0) + step, step) if len(points) >= Q else ():
-            piece = points[at : at + WINDOW] if at + WINDOW <= len(points) else points[-WINDOW:]
-            pieces.append(piece)
-            ids.append(item)
+        if len(points) < Q:
+            continue
+        cut = [points] if len(points) <= WINDOW else [*windows(points, WINDOW), *windows(points, SHORT)]
+        pieces += cut
+        ids += [item] * len(cut)
+        sources += [source] * len(cut)
     if not pieces:
         return None
     sizes = np.array([len(p) for p in pieces])
@@ -111,6 +127,7 @@ def index(items: list[tuple[int, str]], edits: float = EDITS) -> Block | None:
     return Block(
         pieces=pieces,
         items=np.array(ids, np.int64),
+        sources=np.array(sources, np.int64),
         budgets=budgets,
         least=sizes + 1 - Q * (budgets + 1),
         shifts=np.ceil(np.log2(budgets + 1)).astype(np.int64),
@@ -204,8 +221,9 @@ def occurrences(text: str, block: Block) -> Iterator[tuple[int, int, int, int]]:
     points, places = normalised(text)
     if len(points) < Q:
         return
+    long: dict[int, list[tuple[int, int]]] = {}
     for p, low, high in bands(points, block):
-        piece = block.pieces[p]
+        piece, source = block.pieces[p], int(block.sources[p])
         # A band of merged bins is split so that the table of an alignment stays small.
         reach = max(4 * len(piece), 1024)
         seen: set[tuple[int, int, int]] = set()
@@ -224,6 +242,11 @@ def occurrences(text: str, block: Block) -> Iterator[tuple[int, int, int, int]]:
                 one = (found[0] + begin, found[1] + begin, found[2])
                 if one not in seen and one[1] > one[0]:
                     seen.add(one)
+                    # The pieces of an item come in the order in which they were cut.
+                    if len(piece) == WINDOW:
+                        long.setdefault(source, []).append(one[:2])
+                    elif len(piece) == SHORT and any(a <= one[0] and one[1] <= b for a, b in long.get(source, ())):
+                        continue
                     yield int(block.items[p]), int(places[one[0]]), int(places[one[1] - 1]) + 1, one[2]
 
 
@@ -232,7 +255,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) ->
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    # Windows of long items overlap by half, for two sizes: each code point is indexed four times.
+    indexed_chars = F.length("text") * F.when(F.length("text") > WINDOW, 4).otherwise(1)
+    chars = items.agg(F.coalesce(F.sum(indexed_chars), F.lit(0))).first()[0]
     blocks = -(-chars // BLOCK_CHARS)
     found = spark.createDataFrame([], MATCHES)
     for number in range(blocks):

@@ -61,6 +61,22 @@ def test_no_occurrence_within_the_budget_is_lost():
             assert found <= {i}
 
 
+def test_every_quote_of_the_least_length_is_found():
+    rng = random.Random(7)
+    item = words(rng, 500)
+    block = dc.index([(1, item), (2, words(rng, 40))])
+    around = words(rng, 30), words(rng, 30)
+    for at in [*range(0, len(item) - dc.QUOTE, 13), len(item) - dc.QUOTE]:
+        found = {x[0] for x in dc.occurrences(f"{around[0]} {item[at : at + dc.QUOTE]} {around[1]}", block)}
+        assert found == {1}, at
+    for at in range(0, 450, 50):
+        quote = " ".join(item.split()[at : at + 50])
+        assert len(quote) >= dc.QUOTE and {x[0] for x in dc.occurrences(f"{around[0]} {quote} {around[1]}", block)} == {1}
+    assert not list(dc.occurrences(f"{around[0]} {around[1]}", block))
+    whole = list(dc.occurrences(f"{around[0]} {item} {around[1]}", block))
+    assert len(whole) == len(list(dc.windows(np.arange(len(item)), dc.WINDOW))) and all(x[3] == 0 for x in whole)
+
+
 @pytest.fixture
 def benchmark(spark):
     rng = random.Random(3)
