@@ -254,7 +254,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) ->
     """A row for each occurrence of an item: ``doc_id``, ``item_id``, ``begin``, ``end``, ``edits``."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     # Windows of long items overlap by half, for two sizes: each code point is indexed four times.
     indexed_chars = F.length("text") * F.when(F.length("text") > WINDOW, 4).otherwise(1)
     chars = items.agg(F.coalesce(F.sum(indexed_chars), F.lit(0))).first()[0]
@@ -264,7 +264,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) ->
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
         if block.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] > MOST_CHARS:
             raise ValueError(f"a block of items has more than {MOST_CHARS} code points")
-        indexed = index([tuple(r) for r in block.distinct().toLocalIterator()], edits)
+        indexed = index([tuple(r) for r in block.toLocalIterator()], edits)
         if indexed is not None:
             found = found.unionByName(_against(documents(docs), spark.sparkContext.broadcast(indexed)))
     return found

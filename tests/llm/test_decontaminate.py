@@ -124,6 +124,13 @@ def test_blocks_give_the_same(docs_of, benchmark, monkeypatch):
         dc.contaminated(docs, frame)
 
 
+def test_repeated_items_are_measured_once(spark, docs_of, monkeypatch):
+    text = words(random.Random(8), 30)
+    frame = spark.createDataFrame([(1, text)] * 40, "item_id long, text string")
+    monkeypatch.setattr(dc, "MOST_CHARS", 2 * len(text))
+    assert [(r.doc_id, r.item_id) for r in dc.contaminated(docs_of((5, f"a {text} b")), frame).collect()] == [(5, 1)]
+
+
 def test_nothing(no_docs, benchmark):
     frame, _ = benchmark
     assert dc.contaminated(no_docs, frame).count() == 0
