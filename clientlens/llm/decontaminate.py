@@ -18,7 +18,8 @@ short windows of ``SHORT`` code points that overlap by half too. A verbatim quot
 points (191; 50 words of 2.8 letters) has a whole short window, so each is found, and longer ones
 with as many edits as their windows allow. A short window has no row of its own where it lies in
 an occurrence of a longer one of its item. Defined results: items shorter than q and NULL texts match
-nothing; rows without id and repeated rows are matched each for itself; no items or no documents
+nothing; documents without id and repeated ones are matched each for itself; items without id are
+items like others, with a NULL ``item_id`` in the result; equal items are one; no items or no documents
 give no rows; further columns are left out.
 """
 
@@ -100,7 +101,7 @@ def windows(points: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield points[at : at + size] if at + size <= len(points) else points[-size:]
 
 
-def index(items: list[tuple[int, str]], edits: float = EDITS) -> Block | None:
+def index(items: list[tuple[int | None, str]], edits: float = EDITS) -> Block | None:
     """The index; None if no item is long enough."""
     pieces, ids, sources = [], [], []
     for source, (item, text) in enumerate(items):
@@ -126,7 +127,7 @@ def index(items: list[tuple[int, str]], edits: float = EDITS) -> Block | None:
     filter_[(keys >> np.uint64(64 - BITS)).astype(np.int64)] = True
     return Block(
         pieces=pieces,
-        items=np.array(ids, np.int64),
+        items=np.array(ids, object),
         sources=np.array(sources, np.int64),
         budgets=budgets,
         least=sizes + 1 - Q * (budgets + 1),
@@ -216,7 +217,7 @@ def align(points: np.ndarray, piece: np.ndarray, low: int, high: int, budget: in
     return found
 
 
-def occurrences(text: str, block: Block) -> Iterator[tuple[int, int, int, int]]:
+def occurrences(text: str, block: Block) -> Iterator[tuple[int | None, int, int, int]]:
     """Item, begin, end (places in the text) and edits of each occurrence."""
     points, places = normalised(text)
     if len(points) < Q:
@@ -247,14 +248,14 @@ def occurrences(text: str, block: Block) -> Iterator[tuple[int, int, int, int]]:
                         long.setdefault(source, []).append(one[:2])
                     elif len(piece) == SHORT and any(a <= one[0] and one[1] <= b for a, b in long.get(source, ())):
                         continue
-                    yield int(block.items[p]), int(places[one[0]]), int(places[one[1] - 1]) + 1, one[2]
+                    yield block.items[p], int(places[one[0]]), int(places[one[1] - 1]) + 1, one[2]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """A row for each occurrence of an item: ``doc_id``, ``item_id``, ``begin``, ``end``, ``edits``."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    items = items.filter("text IS NOT NULL").distinct()
     # Windows of long items overlap by half, for two sizes: each code point is indexed four times.
     indexed_chars = F.length("text") * F.when(F.length("text") > WINDOW, 4).otherwise(1)
     chars = items.agg(F.coalesce(F.sum(indexed_chars), F.lit(0))).first()[0]

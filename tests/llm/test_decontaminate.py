@@ -131,6 +131,13 @@ def test_repeated_items_are_measured_once(spark, docs_of, monkeypatch):
     assert [(r.doc_id, r.item_id) for r in dc.contaminated(docs_of((5, f"a {text} b")), frame).collect()] == [(5, 1)]
 
 
+def test_items_without_id_count(docs_of, benchmark):
+    frame, items = benchmark
+    docs = docs_of((1, f"a {items[None]} b"), (2, "a b"), (3, items[1]))
+    assert sorted((r.doc_id, r.item_id or -1) for r in dc.contaminated(docs, frame).collect()) == [(1, -1), (3, 1)]
+    assert [r.doc_id for r in dc.clean_documents(docs, frame).collect()] == [2]
+
+
 def test_nothing(no_docs, benchmark):
     frame, _ = benchmark
     assert dc.contaminated(no_docs, frame).count() == 0
