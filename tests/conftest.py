@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import date, datetime
 
 import pytest
 from pyspark.sql import SparkSession
@@ -32,20 +31,3 @@ def lake(spark, tmp_path):
     from clientlens.sources.lake import Lake
 
     return Lake(spark, str(tmp_path / "lake"))
-
-
-def rows_of(df, *order):
-    """Rows as tuples, sorted by the given columns or by their text."""
-    rows = [tuple(r) for r in df.collect()]
-    if order:
-        places = [df.columns.index(c) for c in order]
-        return sorted(rows, key=lambda r: [(r[p] is not None, r[p]) for p in places])
-    return sorted(rows, key=str)
-
-
-def day(text):
-    return date.fromisoformat(text)
-
-
-def moment(text):
-    return datetime.fromisoformat(text)

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows_of
+from helpers import rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

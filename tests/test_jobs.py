@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pytest
 import smallbank as sb
-from conftest import day, rows_of
+from helpers import day, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructType
 

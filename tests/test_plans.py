@@ -5,7 +5,7 @@ from datetime import date, timedelta
 
 import pytest
 import smallbank as sb
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from clientlens.config import GoldSettings

@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import moment, rows_of
+from helpers import moment, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

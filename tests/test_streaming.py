@@ -1,5 +1,5 @@
 import smallbank as sb
-from conftest import rows_of
+from helpers import rows_of
 
 from clientlens.jobs.audit import AuditLog
 from clientlens.operators.incremental import current_rows
