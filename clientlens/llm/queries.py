@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, languages, lines, minhash, packing, pages, token_files, toxicity, vectors
+from . import bpe, chat, decontaminate, languages, lines, minhash, packing, pages, token_files, toxicity, vectors
 from .common import crc_of_id, materialise, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,15 @@ def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"), threshold=0.98)
+
+
+@query
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), tokenizer), tokenizer)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
