@@ -3,8 +3,8 @@
 The merges of a piece are applied from a priority queue. Its symbols are a doubly linked list
 (places of the neighbours before and after, kept in two arrays), the queue holds ``(rank, place)``
 of every pair that has a merge, and the pair with the least rank, the leftmost among equals, is
-popped first. An entry is stale when its left symbol was swallowed or its pair has another rank by
-now; it is skipped. So a piece of n symbols takes n log n steps however long it is. Decoding
+popped first. An entry is stale when the pair at its place has another rank by now, or none; it is
+skipped. So a piece of n symbols takes n log n steps however long it is. Decoding
 concatenates the strings of the vocabulary, with a space between tokens, as the library does for a
 file without a decoder.
 
@@ -24,13 +24,13 @@ NULL or beyond the vocabulary can't be decoded and is an error.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 import os
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cache, partial
 from itertools import repeat
 
 import numpy as np
@@ -44,8 +44,14 @@ from .common import documents, in_slices, ragged, strings
 CHARS_KEPT = 8 << 20
 #: Text encoded at once, and ids decoded at once; ids take more room than the text they stand for.
 SLICE_BYTES, SLICE_IDS = 4 << 20, 1 << 20
+#: Words that are divided into pieces together.
+WORDS_A_CALL = 1024
 #: Bits of a place in an entry of the queue.
-PLACE = 40
+PLACE, HERE = 40, (1 << 40) - 1
+#: Symbols from which on the lists of a piece are arrays, which take less room.
+LONG = 1 << 14
+#: Words of Latin letters, digits and marks, none of them white space in any edition of Unicode.
+PLAIN = re.compile("[\x21-\x7e\xa1-\u024f]+")
 PROBES = ("a b", " a  b ", "a\nb", "a\t\r\x0b\x0cb")
 
 
@@ -66,8 +72,9 @@ class Merges:
         self.suffix: str = model.get("end_of_word_suffix") or ""
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         ids = self.vocabulary
-        #: Pairs of ids with the rank of their merge and the id that it gives.
-        self.ranks = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        #: Pairs of ids with the rank of their merge, and the id that the merge of a rank gives.
+        self.ranks = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.given = [ids[a + b] for a, b in pairs]
         added = {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
         if any(t[k] for t in spec.get("added_tokens") or () for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("this tokenizer file has added tokens that look around themselves")
@@ -85,38 +92,36 @@ class Merges:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The ids that are left of a piece's symbols when no pair of neighbours has a merge."""
-        n, ranks = len(symbols), self.ranks
-        before, after = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+        n, rank_of, given = len(symbols), self.ranks.get, self.given
+        made = list if n < LONG else partial(array, "q")
+        before, after = made(range(-1, n - 1)), made(range(1, n + 1))
+        # The rank of the pair that begins at each place by now; entries of other ranks are stale.
+        now = made(map(rank_of, zip(symbols, symbols[1:]), repeat(-1)))
         if n:
             after[-1] = -1
+            now.append(-1)
         # An entry is one number, the rank above the place: it takes half the room of a pair.
-        queue = []
-        for at in range(n - 1):
-            found = ranks.get((symbols[at], symbols[at + 1]))
-            if found:
-                queue.append(found[0] << PLACE | at)
+        queue = [rank << PLACE | at for at, rank in enumerate(now) if rank >= 0]
         heapq.heapify(queue)
         while queue:
             first = heapq.heappop(queue)
-            rank, at = first >> PLACE, first & ((1 << PLACE) - 1)
-            right = after[at]
-            if symbols[at] < 0 or right < 0:
-                continue
-            found = ranks.get((symbols[at], symbols[right]))
-            if found is None or found[0] != rank:
+            rank, at = first >> PLACE, first & HERE
+            if now[at] != rank:
                 continue
-            symbols[at], symbols[right] = found[1], -1
-            beyond = after[at] = after[right]
+            right = after[at]
+            symbols[at], symbols[right], now[right] = given[rank], -1, -1
+            beyond, left = after[right], before[at]
+            after[at] = beyond
+            now[at] = -1
             if beyond >= 0:
                 before[beyond] = at
-                found = ranks.get((symbols[at], symbols[beyond]))
-                if found:
-                    heapq.heappush(queue, found[0] << PLACE | at)
-            left = before[at]
+                now[at] = rank = rank_of((symbols[at], symbols[beyond]), -1)
+                if rank >= 0:
+                    heapq.heappush(queue, rank << PLACE | at)
             if left >= 0:
-                found = ranks.get((symbols[left], symbols[at]))
-                if found:
-                    heapq.heappush(queue, found[0] << PLACE | left)
+                now[left] = rank = rank_of((symbols[left], symbols[at]), -1)
+                if rank >= 0:
+                    heapq.heappush(queue, rank << PLACE | left)
         return [s for s in symbols if s >= 0]
 
     def pieces(self, text: str) -> list[str]:
@@ -125,6 +130,11 @@ class Merges:
             text = self.normaliser.normalize_str(text)
         return [piece for piece, _ in self.divider.pre_tokenize_str(text)] if self.divider is not None else [text]
 
+    def ids_of(self, piece: str) -> list[int]:
+        marks = [*piece[:-1], piece[-1] + self.suffix]
+        # A mark that isn't in the vocabulary has no id, and there is no unknown one.
+        return self.merge([self.vocabulary[m] for m in marks if m in self.vocabulary])
+
     def encode(self, text: str) -> list[int]:
         """The ids of any text."""
         out: list[int] = []
@@ -133,9 +143,41 @@ class Merges:
                 out.append(self.added[part])
                 continue
             for piece in self.pieces(part) if part else ():
-                marks = [*piece[:-1], piece[-1] + self.suffix]
-                # A mark that isn't in the vocabulary has no id, and there is no unknown one.
-                out += self.merge([self.vocabulary[m] for m in marks if m in self.vocabulary])
+                out += self.ids_of(piece)
+        return out
+
+    def encode_words(self, words: list[str], met: dict[str, tuple[int, ...]]) -> list[tuple[int, ...]]:
+        """The ids of many words without white space; ``met`` has the ids of pieces met before.
+
+        Plain words are divided into pieces together, with spaces between them; the place of a
+        piece tells its word. Words with an added token, and others, are encoded each for itself.
+        """
+        out: list[tuple[int, ...]] = [()] * len(words)
+        plain = []
+        for i, word in enumerate(words):
+            if PLAIN.fullmatch(word) and not (self.cut and self.cut.search(word)):
+                plain.append(i)
+            else:
+                out[i] = tuple(self.encode(word))
+        for low in range(0, len(plain), WORDS_A_CALL):
+            group = plain[low : low + WORDS_A_CALL]
+            joined = " ".join([words[i] for i in group])
+            if self.normaliser is not None:
+                joined = self.normaliser.normalize_str(joined)
+            ends = [len(w) for w in joined.split(" ")]
+            if len(ends) != len(group) or self.divider is None:
+                for i in group:
+                    out[i] = tuple(self.encode(words[i]))
+                continue
+            at, end, k = group[0], ends[0], 0
+            for piece, (start, _) in self.divider.pre_tokenize_str(joined):
+                while start > end:
+                    k += 1
+                    at, end = group[k], end + 1 + ends[k]
+                ids = met.get(piece)
+                if ids is None:
+                    ids = met[piece] = tuple(self.ids_of(piece))
+                out[at] = out[at] + ids if out[at] else ids
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -152,13 +194,14 @@ class Words:
     def forget(self) -> None:
         """Give the memory back; worker processes outlive their tasks."""
         self.known: dict[str, int] = {}
+        self.met: dict[str, tuple[int, ...]] = {}
         self.chars = 0
         self.pool = np.empty(1 << 16, np.int32)
         self.bounds = np.zeros(1 << 14, np.int64)
 
     def learn(self, words: list[str]) -> None:
         first = len(self.known)
-        found = [self.merges.encode(word) for word in words]
+        found = self.merges.encode_words(words, self.met)
         ends = self.bounds[first] + np.cumsum([len(ids) for ids in found])
         while ends[-1] > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
@@ -192,7 +235,7 @@ class Words:
         return ids, np.concatenate([[0], np.cumsum(counts)])[offsets - offsets[0]]
 
 
-@functools.cache
+@cache
 def words_of(path: str) -> Words:
     """The words of this worker process."""
     return Words(path)
