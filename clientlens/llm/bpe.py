@@ -41,9 +41,9 @@ from pyspark.sql import DataFrame
 from .common import documents, in_slices, ragged, strings
 
 #: Code points of words whose ids a task keeps.
-CHARS_KEPT = 8 << 20
+CHARS_KEPT = 4 << 20
 #: Text encoded at once, and ids decoded at once; ids take more room than the text they stand for.
-SLICE_BYTES, SLICE_IDS = 4 << 20, 1 << 20
+SLICE_BYTES, SLICE_IDS = 2 << 20, 1 << 19
 #: Words that are divided into pieces together.
 WORDS_A_CALL = 1024
 #: Bits of a place in an entry of the queue.
@@ -55,6 +55,15 @@ PLAIN = re.compile("[\x21-\x7e\xa1-\u024f]+")
 PROBES = ("a b", " a  b ", "a\nb", "a\t\r\x0b\x0cb")
 
 
+def listed(spec: dict) -> list[str]:
+    """The strings of a tokenizer file by their ids."""
+    named = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
+    names = [""] * (1 + max(named.values()))
+    for name, at in named.items():
+        names[at] = name
+    return names
+
+
 class Merges:
     """The tables of a tokenizer file: symbols, ranked merges and added tokens."""
 
@@ -81,9 +90,7 @@ class Merges:
         self.added = added
         longest_first = sorted(added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
-        self.names = [""] * (1 + max([*ids.values(), *added.values()]))
-        for name, at in [*ids.items(), *added.items()]:
-            self.names[at] = name
+        self.names = listed(spec)
         library = Tokenizer.from_file(path)
         self.normaliser, self.divider = library.normalizer, library.pre_tokenizer
         wanted = self.encode("a") + self.encode("b")
@@ -241,6 +248,14 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
+@cache
+def names_of(path: str) -> pa.Array:
+    """The strings of all ids; all that decoding needs."""
+    with open(path, encoding="utf-8") as handle:
+        spec = json.load(handle)
+    return pa.array(listed(spec), pa.large_string())
+
+
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id`` and ``ids`` of every document's whole text."""
 
@@ -261,7 +276,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``text``, the strings of the ids with a space between them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = pa.array(words_of(tokenizer).merges.names, pa.large_string())
+        names = names_of(tokenizer)
         for batch in batches:
             lists = batch.column("ids")
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
