@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, languages, lines, minhash, packing, pages, token_files, toxicity, vectors
+from . import bpe, chat, decontaminate, languages, lines, merkle, minhash, packing, pages, token_files, toxicity, vectors
 from .common import crc_of_id, materialise, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,87 @@ def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    proven = merkle.manifest(table(spark, folder, "documents"))
+    found = proven.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _level(name: str, k: int) -> str:
+    """A level of nodes from the one below, and what stands beside each node of that one."""
+    return f"""
+    {name}{k + 1} AS (
+        SELECT tree, p // 16 AS p, CASE WHEN min(n) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY p)) END AS d,
+               (min(n) + 15) // 16 AS n
+        FROM {name}{k} GROUP BY tree, p // 16
+    ),
+    {name}beside{k} AS (
+        SELECT a.tree, a.p, min(a.n) AS n, coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS l,
+               coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS r
+        FROM {name}{k} a JOIN {name}{k} b ON a.tree = b.tree AND a.p // 16 = b.p // 16 GROUP BY a.tree, a.p
+    )"""
+
+
+def _fold(k: int, before: str, beside: str, tree: str, at: str, power: int) -> str:
+    return f"""
+    fold{k} AS (
+        SELECT f.* EXCLUDE (node, proof), CASE WHEN n = 1 THEN node ELSE sha256(l || node || r) END AS node, proof || l || r AS proof
+        FROM {before} f JOIN {beside} b ON f.{tree} = b.tree AND f.{at} // {power} = b.p
+    )"""
+
+
+def _merkle_sql(heights: tuple[int, int] = (7, 4)) -> str:
+    """Levels spelt out, more than enough for 16 ** 7 rows of a source and 16 ** 4 sources."""
+    field = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}) || ':' || {x} END"
+    others = [field(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = lambda text: "sha256(" + " || ".join([*others, field(text)]) + ")"
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)"
+    crc = f"xor(list_reduce(list_concat([4294967295], list_transform({bits}, lambda b: CAST(b AS BIGINT))), {step}), 4294967295)"
+    low, high = heights
+    parts = [
+        f"""leaves AS (
+        SELECT doc_id, coalesce(':' || source, '-') AS tree, {leaf("text")} AS leaf,
+               CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {leaf(small)} END AS tampered
+        FROM documents
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY tree) AS n
+        FROM leaves
+    ),
+    node0 AS (SELECT tree, p, leaf AS d, n FROM placed)""",
+        *(_level("node", k) for k in range(low)),
+        f"""
+    subroots AS (
+        SELECT tree AS source, d, row_number() OVER (ORDER BY tree <> '-', encode(tree)) - 1 AS p, count(*) OVER () AS n FROM node{low}
+    ),
+    top0 AS (SELECT 'all' AS tree, p, d, n FROM subroots)""",
+        *(_level("top", k) for k in range(high)),
+        """
+    start AS (
+        SELECT doc_id, placed.tree, leaf, s.d AS subroot, placed.p AS place, s.p AS source_at, 'all' AS whole,
+               coalesce(tampered, leaf) AS node, '' AS proof
+        FROM placed JOIN subroots s ON placed.tree = s.source
+    )""",
+        *(_fold(k, f"fold{k - 1}" if k else "start", f"nodebeside{k}", "tree", "place", 16**k) for k in range(low)),
+        *(_fold(low + k, f"fold{low + k - 1}", f"topbeside{k}", "whole", "source_at", 16**k) for k in range(high)),
+    ]
+    return f"""
+    WITH {",".join(parts)}
+    SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = d AS verified
+    FROM fold{low + high - 1}, top{high}
+    """
+
+
+ORACLE["op12_merkle"] = _merkle_sql()
