@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, languages, lines, merkle, minhash, packing, pages, token_files, toxicity, vectors
+from . import bpe, chat, decontaminate, languages, lines, merkle, minhash, packing, pages, search, token_files, toxicity, vectors
 from .common import crc_of_id, materialise, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,41 @@ def _merkle_sql(heights: tuple[int, int] = (7, 4)) -> str:
 
 
 ORACLE["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), best=10)
+
+
+ORACLE["op11_search"] = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, doc_id,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ),
+    sizes AS (SELECT d, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS big_n, sum(n) AS big_l FROM sizes),
+    posting AS (SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(terms) AS t FROM docs) GROUP BY d, t),
+    weight AS (
+        SELECT t, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+        FROM (SELECT t, count(*) AS df FROM posting GROUP BY t), totals
+    ),
+    item AS (
+        SELECT row_number() OVER () AS i, item_id,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM (SELECT DISTINCT item_id, text FROM benchmark)
+    ),
+    said AS (SELECT i, t, count(*) AS times FROM (SELECT i, unnest(terms) AS t FROM item) GROUP BY i, t),
+    scored AS (
+        SELECT i, d, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) AS BIGINT) AS score
+        FROM said JOIN weight USING (t) JOIN posting USING (t) JOIN sizes USING (d), totals GROUP BY i, d
+    ),
+    best AS (
+        SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+        FROM scored JOIN sizes USING (d) WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM best JOIN item USING (i) WHERE rank <= 10
+"""
