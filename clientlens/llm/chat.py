@@ -44,15 +44,22 @@ def unescaped(text: Column) -> Column:
 
 
 def events_of_rows(conversations: DataFrame) -> DataFrame:
-    """Rows by turn as a log of whole messages."""
-    return conversations.select(
+    """Rows by turn as a log: each row opens a message of its own with its role, and its text follows
+    as a delta."""
+    rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("seq"),
-        F.lit("message").alias("kind"),
-        F.lit(None).cast("string").alias("message"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    # Turns with the same number, and equal rows, are messages of their own.
+    nth = F.row_number().over(Window.partitionBy("conv_id", "seq").orderBy("role", "text"))
+    message = F.concat_ws(":", F.coalesce(F.col("seq").cast("string"), F.lit("-")), nth.cast("string"))
+    no_text = F.lit(None).cast("string")
+    start = F.struct(F.lit("start").alias("kind"), F.col("role"), no_text.alias("text"))
+    delta = F.struct(F.lit("delta").alias("kind"), no_text.alias("role"), F.col("text"))
+    keyed = rows.select("conv_id", "seq", message.alias("message"), "role", "text")
+    return keyed.select("conv_id", "seq", "message", F.inline(F.array(start, delta))).select("conv_id", "seq", "kind", "message", "role", "text")
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
@@ -61,27 +68,31 @@ def reconstruct(events: DataFrame) -> DataFrame:
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     pieces = events.filter(F.col("kind").isin(*KINDS)).select("conv_id", "message", "kind", "role", "text", F.struct("seq", rank.alias("rank")).alias("at"))
     of_message = Window.partitionBy("conv_id", "message")
+    said = F.when(F.col("role").isNotNull(), F.struct("at", F.col("role").alias("name")))
     placed = pieces.select(
-        "*",
+        "conv_id",
+        "message",
+        "kind",
+        "text",
+        "at",
         F.max(F.when(F.col("kind") != "delta", F.col("at"))).over(of_message).alias("anew"),
         F.min(F.col("at.seq")).over(of_message).alias("opened"),
+        F.max(said).over(of_message)["name"].alias("role"),
     )
+    piece = F.struct("at", F.coalesce("text", F.lit("")).alias("text"))
     folded = (
         placed.filter("anew IS NULL OR at >= anew")
-        .groupBy("conv_id", "message", "opened")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("at", F.coalesce("text", F.lit("")).alias("text")))).alias("parts"),
-        )
-        .select("conv_id", "message", F.col("opened").alias("seq"), F.array_join(F.col("parts.text"), "").alias("text"))
-    )
-    roles = pieces.filter("role IS NOT NULL").groupBy("conv_id", "message").agg(F.max_by("role", "at").alias("role"))
-    same = F.col("f.conv_id").eqNullSafe(F.col("r.conv_id")) & F.col("f.message").eqNullSafe(F.col("r.message"))
-    folded = folded.alias("f").join(roles.alias("r"), same, "left").select("f.conv_id", "f.seq", F.coalesce("r.role", F.lit("")).alias("role"), "f.text")
-    again = placed.filter("kind = 'regenerate'").select(
-        F.col("conv_id").alias("of"), F.col("opened").alias("low"), F.col("at.seq").alias("high")
+        .groupBy("conv_id", "message", "opened", "role")
+        .agg(F.sort_array(F.collect_list(piece)).alias("parts"))
+        .select("conv_id", F.col("opened").alias("seq"), F.coalesce("role", F.lit("")).alias("role"), F.array_join("parts.text", "").alias("text"))
     )
+    again = pieces.filter("kind = 'regenerate'").select("conv_id", "message", F.col("at.seq").alias("high"))
+    opened = pieces.join(again.select("conv_id", "message").distinct().toDF("of", "which"), F.col("conv_id").eqNullSafe(F.col("of")) & F.col("message").eqNullSafe(F.col("which")), "left_semi")
+    opened = opened.groupBy("conv_id", "message").agg(F.min("at.seq").alias("low"))
+    same = F.col("a.conv_id").eqNullSafe(F.col("o.conv_id")) & F.col("a.message").eqNullSafe(F.col("o.message"))
+    spans = again.alias("a").join(opened.alias("o"), same).select(F.col("a.conv_id").alias("of"), "low", "high")
     void = F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("seq") > F.col("low")) & (F.col("seq") < F.col("high"))
-    return whole.unionByName(folded).join(again, void, "left_anti")
+    return whole.unionByName(folded).join(spans, void, "left_anti")
 
 
 def render(messages: DataFrame, trained: str = "assistant") -> DataFrame:

@@ -1,6 +1,7 @@
 """Line dedup and chat formatting against plain Python."""
 
 import hashlib
+import random
 from collections import Counter
 
 from clientlens.llm import chat, lines
@@ -48,6 +49,26 @@ def test_first_occurrence_stays(docs_of):
     assert {r.doc_id: r.kept for r in kept.select("row.doc_id", "kept").collect()} == {3: ["z", "x"], 4: [], 5: ["y"]}
 
 
+def test_keys_counted_by_text(docs_of):
+    many = "own line\nshared\nshared"
+    rows = [(i, many) for i in range(5)] + [(7, "shared\nb"), (8, "c\nSHARED "), (9, "shared"), (None, "shared\n \n")]
+    docs = docs_of(*rows)
+    kept = lines.kept_lines(docs, lines.keep_bitmaps(docs, least_docs=3, keep_first=True, by_text=True))
+    found = {r.doc_id: r.kept for r in kept.select("row.doc_id", "kept").collect()}
+    # The row without id comes first.
+    assert found == {i: ["own line"] for i in range(5)} | {7: ["b"], 8: ["c"], 9: [], None: ["shared", " ", ""]}
+    found = lines.drop_common_lines(docs.filter("doc_id IS NOT NULL"), least_docs=4, keep_first=True, by_text=True)
+    assert {r.doc_id: r.text for r in found.collect()} == {i: "own line\nshared" for i in range(5)} | {7: "b", 8: "c"}
+    assert lines.keep_bitmaps(docs, least_docs=6, by_text=True).count() == 0
+
+
+def test_a_key_in_many_ranges(docs_of):
+    rows = [(i, f"hot\nown {i}\n{'hot' if i % 3 else 'rare'}") for i in range(400)]
+    docs = docs_of(*rows).repartition(9)
+    found = lines.kept_lines(docs, lines.keep_bitmaps(docs, least_docs=300))
+    assert {r.doc_id: r.kept for r in found.select("row.doc_id", "kept").collect()} == {i: [f"own {i}"] if i % 3 else [f"own {i}", "rare"] for i in range(400)}
+
+
 def test_no_lines(no_docs):
     assert lines.keep_bitmaps(no_docs).count() == 0 and lines.drop_common_lines(no_docs).count() == 0
 
@@ -106,6 +127,48 @@ def test_fold(spark):
     ]
 
 
+def folded_plainly(log):
+    """All events of a log by (seq, kind), one after the other, into what stands in the end."""
+    rank = {"regenerate": 0, "start": 1, "edit": 2, "delta": 3}
+    out = []
+    for conv in {e[0] for e in log}:
+        own = [e for e in log if e[0] == conv]
+        final = [(seq, role or "", text or "") for _, seq, kind, _, role, text in own if kind == "message"]
+        voids = []
+        for message in {e[3] for e in own if e[2] != "message"}:
+            events = sorted((e for e in own if e[2] != "message" and e[3] == message), key=lambda e: (e[1], rank[e[2]]))
+            text, role, first = "", "", events[0][1]
+            for _, seq, kind, _, named, piece in events:
+                text = text + (piece or "") if kind == "delta" else piece or ""
+                role = role if named is None else named
+                if kind == "regenerate":
+                    voids.append((first, seq))
+            final.append((first, role, text))
+        out += [(conv, *m) for m in final if not any(low < m[0] < high for low, high in voids)]
+    return sorted(out)
+
+
+def test_fold_of_random_logs(spark):
+    pick, log = random.Random(4), []
+    for conv in range(60):
+        for seq in range(pick.randrange(1, 25)):
+            kind = pick.choice(["message", "start", "delta", "delta", "delta", "edit", "regenerate"])
+            # Whole messages have a role; each kind of event stands once at a seq of a conversation.
+            role = pick.choice(["user", "assistant"]) if kind in ("message", "start") else pick.choice([None, None, "tool"])
+            log.append((conv, seq, kind, None if kind == "message" else pick.choice("abc"), role, pick.choice([None, "x", "yy", f"t{seq}"])))
+    events = spark.createDataFrame(log, "conv_id long, seq long, kind string, message string, role string, text string")
+    found = chat.reconstruct(events).selectExpr("conv_id", "seq", "coalesce(role, '')", "coalesce(text, '')").collect()
+    assert sorted(tuple(r) for r in found) == folded_plainly(log)
+
+
+def test_rows_go_through_the_fold(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a", "x", "x")] * 2 + [(1, None, None, None, "x", "x")], ROWS)
+    events = chat.events_of_rows(rows)
+    assert sorted(r.kind for r in events.collect()) == ["delta"] * 3 + ["start"] * 3
+    found = sorted(tuple(r) for r in chat.reconstruct(events).select("role", "text").collect())
+    assert found == [("", ""), ("user", "a"), ("user", "a")]
+
+
 def test_no_conversations(spark):
     none = chat.events_of_rows(spark.createDataFrame([], ROWS))
     assert chat.digests(chat.render(chat.reconstruct(none))).count() == 0
