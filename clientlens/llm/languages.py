@@ -7,38 +7,41 @@ a step needs no exponential. A text is read in windows of ``WINDOW`` bytes that
 of 0, thousands of them side by side; windows of all documents of a slice fill the same arrays.
 
 Training is backpropagation through time in numpy, on about ``DOCS_A_LANGUAGE`` documents of each
-language, dealt by a hash of the id, and ``PARTS`` windows of each, dealt evenly over its text. Everything else covers whole texts.
+language, dealt by a hash of the id. Their whole texts are cut into windows of ``TRAINED_BYTES`` bytes, which are
+all used, up to about ``WINDOWS_A_LANGUAGE`` for each language; of more windows, that many are dealt by a
+hash, evenly over all places of all texts.
 
-Defined results: a text that is NULL or has no letter is ``und`` with score 0; without any labelled
+Defined results: a text that is NULL or has no letter (Unicode's category L) is ``und`` with score 0; without any labelled
 row all are ``und``; rows without id and repeated rows are labelled each for itself; no rows give no
 rows; further columns are left out.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, in_slices, ragged
+from .shingles import MIX, mixed
 
 UNITS = 8
 WINDOW = 128
 SIDE_BY_SIDE = 4096
 DOCS_A_LANGUAGE = 400
-PARTS = 4
+WINDOWS_A_LANGUAGE = 1 << 15
 TRAINED_BYTES = 64
 STEPS = 240
 BATCH = 192
 #: Slope with which errors pass a clipped gate, so that it can open again.
 LEAK = 0.05
 WIDE_OPEN = 1e4
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 
@@ -176,20 +179,45 @@ def learn(docs: DataFrame, docs_a_language: int = DOCS_A_LANGUAGE) -> Network |
         return None
     of_language = F.create_map(*(F.lit(x) for pair in counts.items() for x in pair))[F.col("lang")]
     known = known.filter(F.pmod(F.xxhash64("doc_id"), of_language) < docs_a_language)
-    places = F.sequence(F.lit(0), F.lit(PARTS - 1))
-    parts = F.transform(places, lambda i: F.substr("text", (F.length("text") * i / PARTS).cast("int") + 1, F.lit(TRAINED_BYTES)))
-    rows = known.select("lang", F.hash("doc_id").alias("nth"), F.explode(parts).alias("part")).orderBy("lang", "nth", "part").collect()
-    rows = [r for r in rows if LETTER.search(r.part)]
+    known = known.select("lang", F.xxhash64("doc_id", "text").alias("nth"), "text")
+    sizes = known.groupBy("lang").agg(F.sum(F.ceil(F.octet_length("text") / TRAINED_BYTES)).alias("n")).collect()
+    shares = {r.lang: WINDOWS_A_LANGUAGE / r.n for r in sizes}
+    rows = known.mapInArrow(_windows(shares), "lang string, nth long, place long, part binary").orderBy("lang", "nth", "place").collect()
     names = sorted({r.lang for r in rows})
     if not names:
         return None
     windows = np.zeros((len(rows), TRAINED_BYTES), np.uint8)
     for row, r in zip(windows, rows):
-        part = np.frombuffer(r.part.encode(), np.uint8)[:TRAINED_BYTES]
-        row[: len(part)] = part
+        row[: len(r.part)] = np.frombuffer(r.part, np.uint8)
     return train(names, windows, np.array([names.index(r.lang) for r in rows]))
 
 
+def _windows(shares: dict[str, float]):
+    """All windows of the texts that have a letter, or a share of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, nth, text in zip(*(batch.column(c) for c in ("lang", "nth", "text"))):
+                name, content = lang.as_py(), text.as_py().encode()
+                places = np.arange(-(-len(content) // TRAINED_BYTES))
+                if shares[name] < 1:
+                    drawn = mixed(places.astype(np.uint64) * MIX[0] ^ np.uint64(nth.as_py() % (1 << 64)))
+                    places = places[drawn < np.uint64(shares[name] * 2**64)]
+                parts = [(p, content[p * TRAINED_BYTES : (p + 1) * TRAINED_BYTES]) for p in places.tolist()]
+                parts = [(p, part) for p, part in parts if LETTER.search(part.decode(errors="ignore"))]
+                yield pa.record_batch(
+                    [
+                        pa.array([name] * len(parts), pa.string()),
+                        pa.array([nth.as_py()] * len(parts), pa.int64()),
+                        pa.array([p for p, _ in parts], pa.int64()),
+                        pa.array([part for _, part in parts], pa.binary()),
+                    ],
+                    names=["lang", "nth", "place", "part"],
+                )
+
+    return run
+
+
 def label(texts: pa.Array, net: Network) -> np.ndarray:
     """Mean probabilities of each language over all positions of each text; texts without a byte
     have zeros."""
