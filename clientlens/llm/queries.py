@@ -36,7 +36,7 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(table(spark, folder, "documents"), tokenizer, end_id=2, with_ids=False).drop("ids")
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer, end_id=2).drop("ids")
 
 
 @query
