@@ -1,19 +1,21 @@
 """Lines that repeat across documents, as keep bitmaps. Built-in functions only.
 
 Every line becomes two 64-bit hashes of its key. The narrow table of hashes is dealt by ranges of
-hash and document and sorted by hash, document and position, so a line that stands in a third of
-all documents is spread over many tasks, and the first occurrence in each document is a streamed
-``row_number() = 1``. Documents are counted with map-side sums. The lines that go are gathered in
-one long for each 64 lines of a document: ``keep`` has the bit of every line that stays, up to the
-last word in which one goes; documents that lose nothing have no row. Text isn't part of it.
+hash and document, sorted by hash, document and position, and written with the number of its range,
+so a line that stands in a third of all documents is spread over many ranges, and the first occurrence
+in each document is a streamed ``row_number() = 1``. Documents are counted with map-side sums. A key's
+ranges are consecutive: a common key is copied to each of them, and its lines are found range by
+range, so no task joins all lines of a key. The lines that go are gathered in one long for each 64
+lines of a document: ``keep`` has the bit of every line that stays, up to the last word in which one
+goes; documents that lose nothing have no row. Text isn't part of it.
+
+With ``by_text`` the documents of one text are one document: a key is counted by different texts, and
+copies of a text lose the same lines. With ``keep_first`` the first occurrence of a key stays, by
+document and position; with both, it stays in all copies of the first text.
 
 Defined results: NULL or empty text is one empty line, which has no key and stays. All rows without
 id count as one document. Rows with the same id are one document for the count and keep a bitmap
 each if their texts differ. No rows give no rows; further columns stay in :func:`kept_lines`.
-
-With ``copies``, documents of one group of copies count once. A line that is common only because
-it was copied with its document stays where it is first in that group, so the group's text stays
-once; a line in enough different documents goes from all, as without ``copies``.
 """
 
 from __future__ import annotations
@@ -55,30 +57,28 @@ def hashed_lines(docs: DataFrame, least_chars: int = 1) -> DataFrame:
 
 
 def keep_bitmaps(
-    docs: DataFrame, least_docs: int = 10, least_chars: int = 1, keep_first: bool = False, copies: DataFrame | None = None
+    docs: DataFrame, least_docs: int = 10, least_chars: int = 1, keep_first: bool = False, by_text: bool = False
 ) -> DataFrame:
     """``doc_id``, ``of_text``, ``n_dropped`` and ``keep`` of each document that loses lines.
 
-    Keys of at least ``least_chars`` code points in at least ``least_docs`` documents lose all
-    their lines, or with ``keep_first`` all but the first one by document and position.
-    ``copies`` (``doc_id``, ``group``; one row for an id) has the documents that are copies of others.
+    Keys of at least ``least_chars`` code points in at least ``least_docs`` documents (different texts
+    with ``by_text``) lose all their lines, or with ``keep_first`` all but the first one.
     """
-    lines = materialise(hashed_lines(docs, least_chars), "lines")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = lines.repartitionByRange(parts, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "of_text", "pos")
-    in_document = Window.partitionBy("h1", "h2", "doc_id").orderBy("of_text", "pos")
-    first = ranged.withColumn("nth", F.row_number().over(in_document)).filter("nth = 1")
-    common = (
-        first.groupBy("h1", "h2")
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "of_text", "pos")).alias("first"))
-        if keep_first
-        else first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
-    )
-    gone = lines.join(common.filter(F.col("n_docs") >= least_docs), ["h1", "h2"])
+    unit, rest = ("of_text", ["doc_id", "pos"]) if by_text else ("doc_id", ["of_text", "pos"])
+    ranged = hashed_lines(docs, least_chars).repartitionByRange(parts, "h1", "h2", unit).sortWithinPartitions("h1", "h2", unit, *rest)
+    nth = F.row_number().over(Window.partitionBy("h1", "h2", unit).orderBy(*rest))
+    lines = materialise(ranged.select("*", (nth == 1).alias("is_first"), F.spark_partition_id().alias("part")), "lines")
+    place = F.struct("doc_id", "of_text", "pos")
+    figures = [F.count(F.lit(1)).alias("n_docs"), F.min("part").alias("low"), F.max("part").alias("high")]
     if keep_first:
-        gone = gone.filter(~F.struct("doc_id", "of_text", "pos").eqNullSafe(F.col("first")))
-    if copies is not None:
-        gone = _without_firsts_of_groups(gone.select(lines.columns), copies, least_docs)
+        figures.append(F.min(place).alias("first"))
+    common = lines.filter("is_first").groupBy("h1", "h2").agg(*figures).filter(F.col("n_docs") >= least_docs)
+    copies = common.withColumn("part", F.explode(F.sequence("low", "high")))
+    gone = lines.join(copies, ["part", "h1", "h2"])
+    if keep_first:
+        here = F.struct("of_text", "pos") if by_text else place
+        gone = gone.filter(~here.eqNullSafe(F.struct("first.of_text", "first.pos") if by_text else F.col("first")))
     bit = F.expr(f"shiftleft(1L, pos % {WORD})")
     words = gone.groupBy("doc_id", "of_text", F.expr(f"pos div {WORD}").alias("word")).agg(F.bit_or(bit).alias("bits"))
     gathered = words.groupBy("doc_id", "of_text").agg(
@@ -91,23 +91,6 @@ def keep_bitmaps(
     return gathered.select("doc_id", "of_text", F.col("n_dropped").cast("long").alias("n_dropped"), dense.alias("keep"))
 
 
-def _without_firsts_of_groups(common: DataFrame, copies: DataFrame, least_docs: int) -> DataFrame:
-    """The occurrences of common lines that go: of a key in ``least_docs`` groups all, of others all
-    but the first in each group that has it in ``least_docs`` documents."""
-    grouped = common.join(copies, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id"))
-    grouped = materialise(grouped, "common-lines")
-    place = F.struct("doc_id", "of_text", "pos")
-    by_document = grouped.groupBy("h1", "h2", "group", "doc_id").agg(F.min(place).alias("first"))
-    by_group = by_document.groupBy("h1", "h2", "group").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"))
-    by_group = materialise(by_group, "groups-of-lines")
-    spread = by_group.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_groups")).filter(F.col("n_groups") >= least_docs)
-    everywhere = grouped.join(spread, ["h1", "h2"], "left_semi")
-    copied = by_group.filter(F.col("n_docs") >= least_docs).join(spread, ["h1", "h2"], "left_anti")
-    # Rows without id are one document, so no group of theirs has enough.
-    again = grouped.join(copied, ["h1", "h2", "group"]).filter(~place.eqNullSafe(F.col("first")))
-    return everywhere.select(common.columns).unionByName(again.select(common.columns))
-
-
 def kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """For each document ``row``, a struct of all its columns, with ``n_lines``, ``n_dropped`` and
     ``kept``, the array of lines that stay."""
@@ -126,15 +109,15 @@ def kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
 
 
-def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, copies: DataFrame | None = None) -> DataFrame:
-    """The documents with the text of the lines that stay, joined by a line break. ``copies`` as in
-    :func:`keep_bitmaps`; those of them that have lost lines and have only blank ones left are
-    dropped."""
-    kept = kept_lines(docs, keep_bitmaps(docs, least_docs, least_chars, copies=copies))
-    if copies is not None:
-        marked = copies.select(F.col("doc_id").alias("copy_id"))
-        kept = kept.join(marked, F.col("row.doc_id") == F.col("copy_id"), "left")
-        blank = ~F.exists("kept", lambda line: F.length(line_key(line)) > 0)
-        kept = kept.filter(~(F.col("copy_id").isNotNull() & (F.col("n_dropped") > 0) & blank))
+def drop_common_lines(
+    docs: DataFrame, least_docs: int = 10, least_chars: int = 1, keep_first: bool = False, by_text: bool = False
+) -> DataFrame:
+    """The documents with the text of the lines that stay, joined by a line break. With ``keep_first``,
+    documents that have lost lines and have only blank ones left are dropped: all that they said
+    stands in others."""
+    kept = kept_lines(docs, keep_bitmaps(docs, least_docs, least_chars, keep_first, by_text))
+    if keep_first:
+        says = F.exists("kept", lambda line: F.length(line_key(line)) > 0)
+        kept = kept.filter((F.col("n_dropped") == 0) | says)
     text = F.when(F.col("row.text").isNotNull(), F.array_join("kept", "\n")).alias("text")
     return kept.select(*(text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
