@@ -30,12 +30,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand in ten documents or more; ``n_chars`` follows. Near
-    duplicates count as one document, and the first of them keeps what they have in common."""
-    ship_package(spark)
-    near = minhash.near_duplicates(docs, width=5, percent=80).filter("doc_id <> component_id")
-    copies = materialise(near.groupBy("doc_id").agg(F.min("component_id").alias("group")), "copies")
-    kept = lines.drop_common_lines(docs, least_docs=10, copies=copies)
+    """Documents without the lines that stand in ten different texts or more, but for the first text
+    that has them; ``n_chars`` follows. A document of such lines alone goes."""
+    kept = lines.drop_common_lines(docs, least_docs=10, keep_first=True, by_text=True)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
