@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -133,41 +133,44 @@ class Bank:
     def customer_history(self) -> DataFrame:
         return self.history(FIRST_RUN, [self.customers, self.changed_customers])
 
-    @cached_property
-    def job_lake(self) -> Lake:
-        """A lake after the jobs ran over these tables, each silver run twice.
+    @cache
+    def job_lake(self, *bronze: str, silver: bool = True, mart: bool = False) -> Lake:
+        """A lake after the jobs ran over some of these tables, each silver run twice.
 
-        ``run1`` delivers everything but the transactions from ``FACTS_CUT`` on, ``run1b`` all bank
+        ``run1`` delivers everything but the bank transactions from ``FACTS_CUT`` on, ``run1b`` all bank
         transactions, then gold is built; ``run2`` delivers the changed customers.
         """
         lake = Lake(self.spark, f"{scratch_root(self.spark)}/lake-{uuid.uuid4().hex}")
         first = {
-            "pg_customers": self.source("src_customers"),
-            "oracle_bank_accounts": self.source("src_bank_accounts"),
-            "pg_card_accounts": self.source("src_card_accounts"),
-            "oracle_loans": self.source("src_loans"),
-            "oracle_bank_transactions": self.bank_facts.filter(F.col("txn_date") < FACTS_CUT),
-            "pg_card_transactions": self.card_facts,
+            "pg_customers": lambda: self.source("src_customers"),
+            "oracle_bank_accounts": lambda: self.source("src_bank_accounts"),
+            "pg_card_accounts": lambda: self.source("src_card_accounts"),
+            "oracle_loans": lambda: self.source("src_loans"),
+            "oracle_bank_transactions": lambda: self.bank_facts.filter(F.col("txn_date") < FACTS_CUT),
+            "pg_card_transactions": lambda: self.card_facts,
         }
-        later = {"oracle_bank_transactions": self.bank_facts}
-        changed = {"pg_customers": adapters.changed_customers(self.spark, self.folder)}
+        later = {"oracle_bank_transactions": lambda: self.bank_facts}
+        changed = {"pg_customers": lambda: adapters.changed_customers(self.spark, self.folder)}
         for batch, run_ts, delivery in (
             ("run1", FIRST_RUN, first),
             ("run1b", BETWEEN_RUNS, later),
             ("run2", SECOND_RUN, changed),
         ):
-            sources = [t for t in SOURCE_TABLES if t.bronze in delivery]
-            targets = [t for t in SILVER_TABLES if t.bronze in delivery]
-            read = lambda table, last, now, rows=delivery: rows[table.bronze]
+            if mart and batch == "run2":
+                break
+            sources = [t for t in SOURCE_TABLES if t.bronze in delivery and (t.bronze in bronze or not bronze)]
+            targets = [t for t in SILVER_TABLES if t.bronze in {s.bronze for s in sources}]
+            read = lambda table, last, now, rows=delivery: rows[table.bronze]()
             ingest.run_ingest(lake, read, run_ts, batch, sources)
-            for _ in range(2):
+            for _ in range(2 if silver else 0):
                 conform_job.run_conform(lake, run_ts, batch, targets)
-            if batch == "run1b":
+            if mart and batch == "run1b":
                 gold.run_gold(lake, run_ts, batch, SETTINGS)
         return lake
 
     def job_table(self, name: str) -> DataFrame:
-        return conform_job.silver_table(self.job_lake, TABLES[name]).read()
+        table = TABLES[name]
+        return conform_job.silver_table(self.job_lake(table.bronze), table).read()
 
     def holdings(self, as_of: date) -> DataFrame:
         return holdings.customer_holdings(
@@ -558,14 +561,15 @@ def snapshot_key_changes(bank: Bank) -> DataFrame:
 def job_bronze_batches(bank: Bank) -> DataFrame:
     """Rows of each batch in bronze: a full load, and increments beside it."""
     names = ("pg_customers", "oracle_bank_transactions")
-    rows = [ingest.bronze_table(bank.job_lake, n).read().select(F.lit(n).alias("table_name"), "_batch_id") for n in names]
+    lake = bank.job_lake(*names, silver=False)
+    rows = [ingest.bronze_table(lake, n).read().select(F.lit(n).alias("table_name"), "_batch_id") for n in names]
     both = rows[0].unionByName(rows[1])
     return both.groupBy("table_name", F.col("_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def job_audit(bank: Bank) -> DataFrame:
-    log = AuditLog(bank.job_lake, "bronze").read()
+    log = AuditLog(bank.job_lake(silver=False), "bronze").read()
     return log.select("table_name", "batch_id", "run_mode", "status", "rows_ingested")
 
 
@@ -587,7 +591,7 @@ def silver_fact_rerun(bank: Bank) -> DataFrame:
 
 @query
 def job_mart(bank: Bank) -> DataFrame:
-    return gold.gold_table(bank.job_lake, "mart_customer_360").read().select(*mart.MART_COLUMNS)
+    return gold.gold_table(bank.job_lake(mart=True), "mart_customer_360").read().select(*mart.MART_COLUMNS)
 
 
 # --- verification -----------------------------------------------------------------------------

@@ -52,7 +52,7 @@ def _remask(lake: Lake, _: argparse.Namespace) -> None:
     print(maintain.remask_snapshots(gold.gold_table(lake, "mart_customer_360")))
 
 
-def _compact(lake: Lake, _: argparse.Namespace) -> None:
+def _upkeep(lake: Lake) -> dict:
     silver = _silver(lake)
     names = ("fct_bank_transactions", "fct_card_transactions", "dim_customer")
     tables = {name: silver[name] for name in names}
@@ -61,7 +61,20 @@ def _compact(lake: Lake, _: argparse.Namespace) -> None:
     tables["mart_customer_360"] = gold.gold_table(lake, "mart_customer_360")
     for layer in ("bronze", "silver", "gold"):
         tables[f"{layer}.audit_log"] = AuditLog(lake, layer)
-    for name, outcome in maintain.compact_tables(tables).items():
+    return tables
+
+
+def _compact(lake: Lake, _: argparse.Namespace) -> None:
+    for name, outcome in maintain.compact_tables(_upkeep(lake)).items():
+        print(name, outcome)
+
+
+def _vacuum(lake: Lake, _: argparse.Namespace) -> None:
+    """Delete what was superseded more than a week ago, in all tables."""
+    tables = _upkeep(lake) | _silver(lake)
+    tables |= {t.bronze: ingest.bronze_table(lake, t.bronze) for t in config.SOURCE_TABLES}
+    tables |= {name: gold.gold_table(lake, name) for name in ("agg_customer_holdings", "agg_customer_txn_12m")}
+    for name, outcome in maintain.vacuum_tables(tables).items():
         print(name, outcome)
 
 
@@ -120,6 +133,7 @@ _JOBS = {
     "gold": _gold,
     "remask": _remask,
     "compact": _compact,
+    "vacuum": _vacuum,
     "verify": _verify,
     "export": _export,
 }

@@ -67,6 +67,8 @@ class SilverTable:
     attributes: tuple[str, ...] = ()
     surrogate: str | None = None
     partition: str | None = None
+    #: Whether the days of ``partition`` are folders, or its months.
+    grain: str = "month"
 
 
 # The tables of the two source systems and their keys.
@@ -165,6 +167,7 @@ def silver_tables_from_mapping(raw: Mapping) -> list[SilverTable]:
                 tuple(body.get("attributes", ())),
                 surrogate,
                 body.get("partition"),
+                body.get("grain", "month"),
             )
         )
     return tables

@@ -52,6 +52,9 @@ class AuditLog:
         """One row is one small file; gather them."""
         return self.table.compact()
 
+    def vacuum(self, before: datetime | None = None) -> int:
+        return self.table.vacuum(before)
+
     def last_run_time(self, table: str) -> datetime | None:
         """Latest successful run of a table; only a missing log counts as no run at all."""
         return last_run_time(self.read(), table)

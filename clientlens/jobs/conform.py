@@ -26,7 +26,8 @@ LAYER = "silver"
 def silver_table(lake: Lake, table: SilverTable) -> LakeTable | Dimension:
     if table.kind == "scd2":
         return lake.dimension(LAYER, table.name, SILVER[table.name])
-    return lake.table(LAYER, table.name, SILVER[table.name], table.partition)
+    by_month = table.partition is not None and table.grain == "month"
+    return lake.table(LAYER, table.name, SILVER[table.name], table.partition, by_month)
 
 
 def new_batches(lake: Lake, table: SilverTable) -> tuple[list[str] | None, datetime | None]:
@@ -121,7 +122,7 @@ def load_fact(
 
     ``stable_dates`` states that a key never changes its date, so only the dates of the
     delivery, and rows without a date, need to be searched. With ``update`` stored transactions
-    take the delivered values; the dates they touch are rewritten.
+    take the delivered values; the partitions they touch are rewritten.
     """
     target = silver_table(lake, table)
     stored = target.state()
@@ -138,15 +139,15 @@ def load_fact(
 
 
 def _update(target: LakeTable, stored: DataFrame, incoming: DataFrame, table: SilverTable) -> int:
-    """Rewrite the dates that a delivery touches, those without a date among them."""
-    day = F.col(table.partition)
-    matched = stored.join(incoming.select(table.key), table.key, "left_semi").select(day.alias("touched"))
-    touched = matched.union(incoming.select(day)).distinct()
-    affected = stored.join(touched, day.eqNullSafe(F.col("touched")), "left_semi")
+    """Rewrite the partitions that a delivery touches, that without a date among them."""
+    part = target.part_of()
+    matched = stored.join(incoming.select(table.key), table.key, "left_semi").select(part.alias("touched"))
+    touched = matched.union(incoming.select(part)).distinct()
+    affected = stored.join(touched, part.eqNullSafe(F.col("touched")), "left_semi")
     merged = materialise(scd.scd1_merge(affected, incoming, table.key), "merged")
-    emptied = touched.join(merged.select(day.alias("left")).distinct(), F.col("touched").eqNullSafe(F.col("left")), "left_anti")
+    emptied = touched.join(merged.select(part.alias("left")).distinct(), F.col("touched").eqNullSafe(F.col("left")), "left_anti")
     if not emptied.isEmpty():
-        # Overwriting partitions can't empty one: all of its rows moved to other dates.
+        # Overwriting partitions can't empty one: all of its rows moved to others.
         return target.replace(scd.scd1_merge(stored, incoming, table.key))
     return target.overwrite_partitions(merged)
 

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from clientlens.plans.governance import leaky_snapshots, remask
 from clientlens.sources.lake import Dimension, LakeTable
-from clientlens.sources.scratch import materialise
 
 
 def remask_snapshots(mart: LakeTable) -> int:
     """Rewrite the snapshots that hold unmasked names; returns the rows rewritten.
 
-    Snapshots without a leak are not touched, and a second run finds nothing to do. The files with
-    the raw names are removed once the masked ones are in place; raw names are written nowhere else.
+    Snapshots without a leak are not touched, and a second run finds nothing to do. The folders with
+    the raw names are deleted once the masked ones count; raw names are written nowhere else.
     """
     rows = mart.read()
     leaky = [r[0] for r in leaky_snapshots(rows).collect()]
@@ -24,7 +24,9 @@ def remask_snapshots(mart: LakeTable) -> int:
     known = [d for d in leaky if d is not None]
     day = F.col("snapshot_date")
     chosen = day.isin(known) | (day.isNull() if None in leaky else F.lit(False))
-    return mart.overwrite_partitions(materialise(remask(rows.filter(chosen)), "masked"))
+    masked = mart.overwrite_partitions(remask(rows.filter(chosen)))
+    mart.vacuum(datetime.now(timezone.utc))
+    return masked
 
 
 def compact_tables(tables: Mapping[str, LakeTable | Dimension]) -> dict[str, int | Exception]:
@@ -36,3 +38,14 @@ def compact_tables(tables: Mapping[str, LakeTable | Dimension]) -> dict[str, int
         except Exception as error:  # noqa: BLE001 - reported per table
             summary[name] = error
     return summary
+
+
+def vacuum_tables(tables: Mapping[str, LakeTable | Dimension], before: datetime | None = None) -> dict[str, int | Exception]:
+    """Delete what every table has superseded since before a time, a week ago if none is given."""
+    summary: dict[str, int | Exception] = {}
+    for name, table in tables.items():
+        try:
+            summary[name] = table.vacuum(before)
+        except Exception as error:  # noqa: BLE001 - reported per table
+            summary[name] = error
+    return summary

@@ -351,12 +351,12 @@ def test_compaction_keeps_content_and_survives_failures(loaded, lake):
 
     summary = compact_tables({"broken": Broken(), "facts": facts})
     assert isinstance(summary["broken"], OSError) and summary["facts"] == 0
-    for i in range(6):  # six files for one day
-        facts.append(facts.read().limit(1).withColumn("txn_id", F.lit(f"X{i}")).withColumn("txn_date", F.lit(day("2024-09-02"))).coalesce(1))
+    for i in range(6):  # six files for one month, which has no others
+        facts.append(facts.read().limit(1).withColumn("txn_id", F.lit(f"X{i}")).withColumn("txn_date", F.lit(day("2023-01-02"))).coalesce(1))
     before = rows_of(facts.read())
     assert compact_tables({"facts": facts}) == {"facts": 6}
     assert rows_of(facts.read()) == before
-    left = facts.read().filter("txn_date = '2024-09-02'").select("_metadata.file_path").distinct()
+    left = facts.read().filter("txn_date = '2023-01-02'").select("_metadata.file_path").distinct()
     assert left.count() == 1
 
 
@@ -378,6 +378,45 @@ def test_crash_before_publish_is_invisible_and_retry_converges(spark, lake, monk
     assert table.read().count() == 2
 
 
+def test_appends_and_overwrites_beside_a_compaction_stay(spark, lake, monkeypatch):
+    table = lake.table("gold", "days", DAYS, "day")
+    for i in range(6):
+        table.append(spark.createDataFrame([(f"a{i}", day("2024-01-01")), (f"b{i}", day("2024-01-02"))], DAYS).coalesce(1))
+    publish = LakeTable.publish
+
+    def late(self, folder, *args, kind="full", **kwargs):
+        if kind == "compact":
+            monkeypatch.setattr(LakeTable, "publish", publish)
+            other = lake.table("gold", "days", DAYS, "day")
+            other.append(spark.createDataFrame([("late", day("2024-01-01"))], DAYS))
+            other.overwrite_partitions(spark.createDataFrame([("new", day("2024-01-02"))], DAYS))
+        publish(self, folder, *args, kind=kind, **kwargs)
+
+    monkeypatch.setattr(LakeTable, "publish", late)
+    assert table.compact() == 12
+    assert rows_of(table.read().select("k")) == [*((f"a{i}",) for i in range(6)), ("late",), ("new",)]
+    assert table.vacuum(datetime.now(timezone.utc) + timedelta(days=1)) > 0
+    assert rows_of(table.read().select("k")) == [*((f"a{i}",) for i in range(6)), ("late",), ("new",)]
+
+
+def test_a_crash_of_an_overwrite_leaves_the_partition(spark, lake, monkeypatch):
+    table = lake.table("gold", "days", DAYS, "day")
+    table.replace(spark.createDataFrame([("a", day("2024-01-01")), ("b", None)], DAYS))
+
+    def crash(*_, **__):
+        raise OSError("lost driver")
+
+    monkeypatch.setattr(LakeTable, "publish", crash)
+    with pytest.raises(OSError):
+        table.overwrite_partitions(spark.createDataFrame([("c", day("2024-01-01"))], DAYS))
+    monkeypatch.undo()
+    assert rows_of(table.read().select("k")) == [("a",), ("b",)]
+    # What never counted goes, what counts stays.
+    assert table.vacuum(datetime.now(timezone.utc) - timedelta(hours=1)) == 0
+    assert table.vacuum(datetime.now(timezone.utc) + timedelta(hours=1)) == 1
+    assert rows_of(table.read().select("k")) == [("a",), ("b",)]
+
+
 def test_unknown_table_needs_a_key():
     from clientlens.config import source_tables_from_mapping
 
