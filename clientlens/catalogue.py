@@ -134,8 +134,8 @@ class Bank:
         return self.history(FIRST_RUN, [self.customers, self.changed_customers])
 
     @cache
-    def job_lake(self, *bronze: str, silver: bool = True, mart: bool = False) -> Lake:
-        """A lake after the jobs ran over some of these tables, each silver run twice.
+    def job_lake(self, *bronze: str, silver_runs: int = 2, mart: bool = False) -> Lake:
+        """A lake after the jobs ran over some of these tables, each silver run as often as asked for.
 
         ``run1`` delivers everything but the bank transactions from ``FACTS_CUT`` on, ``run1b`` all bank
         transactions, then gold is built; ``run2`` delivers the changed customers.
@@ -162,7 +162,7 @@ class Bank:
             targets = [t for t in SILVER_TABLES if t.bronze in {s.bronze for s in sources}]
             read = lambda table, last, now, rows=delivery: rows[table.bronze]()
             ingest.run_ingest(lake, read, run_ts, batch, sources)
-            for _ in range(2 if silver else 0):
+            for _ in range(silver_runs):
                 conform_job.run_conform(lake, run_ts, batch, targets)
             if mart and batch == "run1b":
                 gold.run_gold(lake, run_ts, batch, SETTINGS)
@@ -561,7 +561,7 @@ def snapshot_key_changes(bank: Bank) -> DataFrame:
 def job_bronze_batches(bank: Bank) -> DataFrame:
     """Rows of each batch in bronze: a full load, and increments beside it."""
     names = ("pg_customers", "oracle_bank_transactions")
-    lake = bank.job_lake(*names, silver=False)
+    lake = bank.job_lake(*names, silver_runs=0)
     rows = [ingest.bronze_table(lake, n).read().select(F.lit(n).alias("table_name"), "_batch_id") for n in names]
     both = rows[0].unionByName(rows[1])
     return both.groupBy("table_name", F.col("_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
@@ -569,7 +569,7 @@ def job_bronze_batches(bank: Bank) -> DataFrame:
 
 @query
 def job_audit(bank: Bank) -> DataFrame:
-    log = AuditLog(bank.job_lake(silver=False), "bronze").read()
+    log = AuditLog(bank.job_lake(silver_runs=0), "bronze").read()
     return log.select("table_name", "batch_id", "run_mode", "status", "rows_ingested")
 
 
@@ -591,7 +591,7 @@ def silver_fact_rerun(bank: Bank) -> DataFrame:
 
 @query
 def job_mart(bank: Bank) -> DataFrame:
-    return gold.gold_table(bank.job_lake(mart=True), "mart_customer_360").read().select(*mart.MART_COLUMNS)
+    return gold.gold_table(bank.job_lake(silver_runs=1, mart=True), "mart_customer_360").read().select(*mart.MART_COLUMNS)
 
 
 # --- verification -----------------------------------------------------------------------------

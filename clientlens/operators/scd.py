@@ -1,6 +1,6 @@
 """Slowly changing dimensions and insert-only facts, as pure frame-to-frame operators.
 
-None of them writes. Each takes the stored state and one delivery and returns the next state
+None of them writes a table. Each takes the stored state and one delivery and returns the next state
 (or the rows to add), so a job can publish the outcome in one step.
 """
 
@@ -11,11 +11,12 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientlens.config import SilverTable
 from clientlens.functions.times import as_utc, instant
+from clientlens.sources.scratch import materialise
 
 _VERSION_COLUMNS = (
     "row_hash",
@@ -155,18 +156,57 @@ def scd2_as_of(history: DataFrame, moment: datetime) -> DataFrame:
     )
 
 
+#: Facts of a key from which on its time is cut into slices of about as many.
+SLICE_FACTS = 1_000_000
+
+
 def join_as_of(
-    facts: DataFrame, history: DataFrame, key: str, moment: str, columns: Sequence[str]
+    facts: DataFrame, history: DataFrame, key: str, moment: str, columns: Sequence[str], slice_facts: int = SLICE_FACTS
 ) -> DataFrame:
-    """Facts with the dimension columns that were valid at each fact's own time."""
-    versions = history.select(key, "effective_from", "effective_to", *columns)
+    """Facts with the dimension columns that were valid at each fact's own time; NULL where none was.
+
+    Facts and versions go into one frame, sorted by key and time, and each fact takes the version that
+    was carried forward to it: no fact meets a second version, however many its key has. A key of more
+    than ``slice_facts`` facts is cut into slices of time, which are tasks of their own; a version is
+    copied to the slices that it reaches. ``history`` has versions that don't overlap, as type 2
+    dimensions have. Facts without key or time get NULL.
+    """
     at = F.col(moment).cast("timestamp")
-    valid = (
-        (facts[key] == versions[key])
-        & (F.col("effective_from") <= at)
-        & (F.col("effective_to").isNull() | (at < F.col("effective_to")))
+    seconds = F.unix_micros(at) / F.lit(1e6)
+    per_key = facts.filter(F.col(key).isNotNull() & at.isNotNull()).groupBy(key)
+    spans = per_key.agg(F.count(F.lit(1)).alias("n"), F.min(seconds).alias("low"), F.max(seconds).alias("high"))
+    # At most one key for each slice_facts rows, so the table of hot keys is small against the facts.
+    hot = spans.filter(F.col("n") > slice_facts).select(
+        F.col(key).alias("_hot"), "low", F.greatest(F.col("high") - F.col("low"), F.lit(1e-6)).alias("width"), F.ceil(F.col("n") / slice_facts).alias("slices")
+    )
+    hot = materialise(hot, "hot-keys")
+
+    def slice_of(time: Column) -> Column:
+        nth = F.floor((time - F.col("low")) / F.col("width") * F.col("slices"))
+        return F.coalesce(F.greatest(F.lit(0).cast("long"), F.least(nth, F.col("slices") - 1)), F.lit(0).cast("long"))
+
+    # Partitions of the sort: a key, or a slice of a hot one.
+    fact = F.struct(*[F.col(c) for c in facts.columns])
+    told = facts.select(F.col(key).alias("_key"), at.alias("_at"), seconds.alias("_s"), fact.alias("_fact"))
+    told = told.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left").select("_key", slice_of(F.col("_s")).alias("_slice"), "_at", "_fact")
+    known = history.filter(F.col(key).isNotNull() & F.col("effective_from").isNotNull()).select(
+        F.col(key).alias("_key"),
+        F.col("effective_from").alias("_at"),
+        F.struct("effective_to", *columns).alias("_version"),
+        (F.unix_micros("effective_from") / F.lit(1e6)).alias("_s"),
+        (F.unix_micros("effective_to") / F.lit(1e6)).alias("_e"),
+    )
+    last = F.coalesce(slice_of(F.col("_e")), F.lit(0).cast("long"))
+    until = F.when(F.col("_hot").isNull(), F.lit(0).cast("long")).when(F.col("_e").isNull(), F.col("slices") - 1).otherwise(last)
+    known = known.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left").select(
+        "_key", F.explode(F.sequence(slice_of(F.col("_s")), until)).alias("_slice"), "_at", "_version"
     )
-    return facts.join(versions, valid, "left").select(*[facts[c] for c in facts.columns], *columns)
+    both = told.unionByName(known, allowMissingColumns=True)
+    ahead = Window.partitionBy("_key", "_slice").orderBy(F.col("_at"), F.col("_fact").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_valid", F.last("_version", ignorenulls=True).over(ahead)).filter("_fact IS NOT NULL")
+    ended = F.col("_valid.effective_to") <= F.col("_at")
+    reached = F.coalesce(~ended, F.lit(True)) & F.col("_key").isNotNull() & F.col("_at").isNotNull()
+    return carried.select("_fact.*", *[F.when(reached, F.col(f"_valid.{c}")).alias(c) for c in columns])
 
 
 def scd2_history(history: DataFrame, key: str, value: str) -> DataFrame:
