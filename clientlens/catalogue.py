@@ -190,11 +190,21 @@ class Bank:
             self.customers, self.holdings(as_of), self.activity(as_of), as_of, SETTINGS
         )
 
+    def activities(self, *as_ofs: date) -> DataFrame:
+        return activity.customer_activities(
+            self.bank_facts, self.card_facts, self.accounts, self.cards, as_ofs, SETTINGS
+        )
+
     @cached_property
     def snapshots(self) -> DataFrame:
-        """Two mart snapshots, stored once by their date and shared by all report queries."""
-        both = self.build_mart(PREVIOUS).unionByName(self.build_mart(AS_OF))
-        return materialise(both, "mart", "snapshot_date")
+        """Two mart snapshots, stored once by their date and shared by all report queries. One scan of
+        the facts serves both."""
+        active = materialise(self.activities(PREVIOUS, AS_OF), "activities", "as_of")
+        both = [
+            mart.customer_mart(self.customers, self.holdings(d), active.filter(F.col("as_of") == d).drop("as_of"), d, SETTINGS)
+            for d in (PREVIOUS, AS_OF)
+        ]
+        return materialise(both[0].unionByName(both[1]), "mart", "snapshot_date")
 
     @cached_property
     def snapshot(self) -> DataFrame:
@@ -210,6 +220,16 @@ class Bank:
             self.bank_facts, self.card_facts, self.accounts, self.cards, self.customers
         )
 
+    @cached_property
+    def numbers(self) -> DataFrame:
+        return trends.customer_numbers(self.customers)
+
+    @cached_property
+    def bitmaps(self) -> DataFrame:
+        """Who was active on each day, stored once: all counts of active customers come from it."""
+        built = trends.active_bitmaps(self.bank_facts, self.card_facts, self.accounts, self.cards, self.numbers)
+        return materialise(built, "active")
+
     @cached_property
     def trend(self) -> DataFrame:
         return trends.daily_trend(self.days)
@@ -417,8 +437,11 @@ def agg_txn_12m(bank: Bank) -> DataFrame:
 @query
 def agg_txn_auto(bank: Bank) -> DataFrame:
     """Default settings: 12 months up to the latest transaction."""
-    as_of = activity.latest_transaction_date(bank.bank_facts, bank.card_facts)
-    return bank.activity(as_of, GoldSettings())
+    narrow = ["account_id", "txn_date", "amount", "channel", "status"]
+    bank_facts = materialise(bank.bank_facts.select(*narrow), "facts")
+    card_facts = materialise(bank.card_facts.select(*narrow, "merchant_category"), "facts")
+    as_of = activity.latest_transaction_date(bank_facts, card_facts)
+    return activity.customer_activity(bank_facts, card_facts, bank.accounts, bank.cards, as_of, GoldSettings())
 
 
 @query
@@ -684,12 +707,52 @@ def daily_trend(bank: Bank) -> DataFrame:
 
 @query
 def monthly_active(bank: Bank) -> DataFrame:
-    return trends.active_customers(bank.build_days(), "month")
+    return trends.active_from_bitmaps(bank.bitmaps, "month")
 
 
 @query
 def daily_active(bank: Bank) -> DataFrame:
-    return trends.active_customers(bank.build_days(), "day")
+    return trends.active_from_bitmaps(bank.bitmaps, "day")
+
+
+@query
+def active_span(bank: Bank) -> DataFrame:
+    """Distinct customers of all segments that were active in a quarter, from the daily bitmaps."""
+    quarter = F.col("day").between(date(1999, 1, 1), date(1999, 3, 31))
+    return trends.active_from_bitmaps(bank.bitmaps.filter(quarter), None, ())
+
+
+def _late(facts: DataFrame) -> DataFrame:
+    """The second delivery: each tenth transaction from ``FACTS_CUT`` on."""
+    return facts.filter((F.col("txn_date") >= FACTS_CUT) & (F.crc32("txn_id") % 10 == 0))
+
+
+def _refreshed(bank: Bank, rebuild: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Day partials of the first delivery, stored, brought up to date after the second one."""
+    both = materialise(bank.bank_facts, "facts"), materialise(bank.card_facts, "facts")
+    late = [_late(f) for f in both]
+    stored = materialise(rebuild(*(f.join(x.select("txn_id"), "txn_id", "left_anti") for f, x in zip(both, late))), "partials")
+    return trends.refreshed(stored, rebuild, *both, trends.touched_days(*late))
+
+
+@query
+def trend_refreshed(bank: Bank) -> DataFrame:
+    """The daily trend after two deliveries; only days that the second one touches are made anew."""
+    build = lambda b, c: trends.day_partials(b, c, bank.accounts, bank.cards, bank.customers)
+    return trends.daily_trend(_refreshed(bank, build))
+
+
+@query
+def active_refreshed(bank: Bank) -> DataFrame:
+    """Monthly active customers from bitmaps that were brought up to date the same way."""
+    build = lambda b, c: trends.active_bitmaps(b, c, bank.accounts, bank.cards, bank.numbers)
+    return trends.active_from_bitmaps(_refreshed(bank, build), "month")
+
+
+@query
+def agg_txn_dates(bank: Bank) -> DataFrame:
+    """Activity as of two dates, from one scan of the facts."""
+    return bank.activities(PREVIOUS, AS_OF)
 
 
 # --- dashboard --------------------------------------------------------------------------------
@@ -724,11 +787,11 @@ _register("dash_txn_trend", lambda bank: trends.txn_trend(bank.trend, "month"))
 _register("dash_txn_trend_daily", lambda bank: trends.txn_trend(bank.trend, "day"))
 _register(
     "dash_active_trend",
-    lambda bank: trends.active_trend(trends.active_customers(bank.days, "month"), "month"),
+    lambda bank: trends.active_trend(trends.active_from_bitmaps(bank.bitmaps, "month"), "month"),
 )
 _register(
     "dash_active_trend_daily",
-    lambda bank: trends.active_trend(trends.active_customers(bank.days, "day"), "day"),
+    lambda bank: trends.active_trend(trends.active_from_bitmaps(bank.bitmaps, "day"), "day"),
 )
 _register("dash_channel_trend", lambda bank: trends.channel_trend(bank.trend, "month"))
 _register("dash_snapshot_trend", lambda bank: dashboard.snapshot_trend(bank.snapshots))

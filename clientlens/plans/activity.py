@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,18 +120,90 @@ def customer_activity(
     per_customer = per_category.groupBy("customer_id").agg(
         F.min(favourite)["c"].alias("category"), *merged
     )
+    return per_customer.select("customer_id", *_figures(F.lit(as_of), lookback, names))
+
+
+def _figures(as_of: Column, lookback: int, months: list[str]) -> list[Column]:
+    """The published figures of a customer from the merged ones."""
     amount = F.col("amount").cast("double")
     count = F.col("n").cast("int")
-    return per_customer.select(
-        "customer_id",
+    return [
         count.alias("txn_count_12m"),
         amount.alias("txn_amount_12m"),
         (amount / lookback).alias("avg_monthly_spend"),
-        reduce(add, [F.bit_count(name) for name in names]).cast("int").alias("active_months_12m"),
+        reduce(add, [F.bit_count(name) for name in months]).cast("int").alias("active_months_12m"),
         F.col("category").alias("top_spend_category"),
         (F.col("digital") / F.col("n")).alias("digital_txn_ratio"),
         F.col("last_date").alias("last_txn_date"),
-        F.datediff(F.lit(as_of), "last_date").alias("recency_days"),
+        F.datediff(as_of, "last_date").alias("recency_days"),
         count.alias("frequency_12m"),
         amount.alias("monetary_12m"),
+    ]
+
+
+def customer_activities(
+    bank: DataFrame,
+    card: DataFrame,
+    accounts: DataFrame,
+    cards: DataFrame,
+    as_ofs: Sequence[date],
+    settings: GoldSettings,
+) -> DataFrame:
+    """:func:`customer_activity` of several dates with one scan of the facts, as ``as_of`` and its columns.
+
+    Time is cut at the months and at the edges of all windows. No window ends within such a piece, so
+    the partial figures of an account in a piece belong to a window as a whole or not at all. Facts
+    become partials once; each partial then goes to the windows that hold it.
+    """
+    lookback = settings.lookback_months
+    dates = sorted(set(as_ofs))
+    day = F.col("txn_date")
+    edges = [edge for d in dates for edge in (F.add_months(F.lit(d), -lookback), F.lit(d))]
+    in_any = reduce(or_, [(day > low) & (day <= high) for low, high in zip(edges[::2], edges[1::2])])
+    piece = reduce(add, [(day > edge).cast("int") for edge in edges])
+    month = F.year(day) * 12 + F.month(day)
+    digital = F.col("channel").isin(list(settings.digital_channels))
+    partials = (
+        tagged_facts(bank, card)
+        .filter(in_any)
+        .groupBy("source", "account_id", "merchant_category", month.alias("month"), piece.alias("piece"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(exact(F.col("amount"))).alias("amount"),
+            F.count_if(digital).alias("digital"),
+            F.max("txn_date").alias("last_date"),
+        )
+    )
+    windows = F.array(
+        *[
+            F.struct(high.alias("as_of"), low.alias("low"), F.lit(d.year * 12 + d.month - lookback).alias("first"))
+            for d, low, high in zip(dates, edges[::2], edges[1::2])
+        ]
+    )
+    holding = F.filter(windows, lambda w: (F.col("last_date") > w.low) & (F.col("last_date") <= w.as_of))
+    owned = partials.join(tagged_accounts(accounts, cards), ["source", "account_id"])
+    placed = owned.select("customer_id", "merchant_category", "month", "n", "amount", "digital", "last_date", F.explode(holding).alias("w"))
+    index = F.col("month") - F.col("w.first")
+    words = {}
+    for i, low in enumerate(range(0, lookback + 1, _WORD)):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), index - F.lit(low))
+        words[f"months_{i}"] = F.when((index >= low) & (index < low + _WORD), bit).otherwise(F.lit(0).cast("long"))
+    merged = [
+        F.sum("n").alias("n"),
+        F.sum("amount").alias("amount"),
+        F.sum("digital").alias("digital"),
+        F.max("last_date").alias("last_date"),
+        *[F.bit_or(name).alias(name) for name in words],
+    ]
+    per_category = (
+        placed.select(F.col("w.as_of").alias("as_of"), "*", *[w.alias(name) for name, w in words.items()])
+        .repartition("as_of", "customer_id")
+        .groupBy("as_of", "customer_id", "merchant_category")
+        .agg(*merged)
+    )
+    favourite = F.when(
+        F.col("merchant_category").isNotNull(),
+        F.struct((-F.col("amount")).alias("a"), F.col("merchant_category").alias("c")),
     )
+    per_customer = per_category.groupBy("as_of", "customer_id").agg(F.min(favourite)["c"].alias("category"), *merged)
+    return per_customer.select("as_of", "customer_id", *_figures(F.col("as_of"), lookback, list(words)))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.money import exact, total
 from clientlens.plans.activity import tagged_accounts, tagged_facts
+from clientlens.sources.scratch import materialise
 
 # The channels a trend is split into, in display order.
 CHANNELS = ("ONLINE", "ATM", "POS", "BRANCH")
@@ -47,6 +50,70 @@ def customer_days(
     )
 
 
+def customer_numbers(customers: DataFrame) -> DataFrame:
+    """Current customers with their segment and a number for bitmaps, stored. Numbers begin at 1 and are
+    dense within each range of ids that one task numbers."""
+    current = customers.filter("is_current").select("customer_id", "customer_segment")
+    numbered = current.repartitionByRange("customer_id").withColumn("number", F.monotonically_increasing_id() + 1)
+    return materialise(numbered, "customer-numbers")
+
+
+def active_bitmaps(bank: DataFrame, card: DataFrame, accounts: DataFrame, cards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Who had a completed transaction, per day, segment and bucket of 32,768 customer numbers: one bit
+    for each customer. Bitmaps are merged by OR, so counts of any span, segment or bucket come from them."""
+    facts = tagged_facts(bank, card).select("source", "account_id", F.col("txn_date").alias("day"))
+    owners = tagged_accounts(accounts, cards).join(numbers, "customer_id").select("source", "account_id", "customer_segment", "number")
+    return (
+        facts.join(owners, ["source", "account_id"])
+        .groupBy("day", "customer_segment", F.bitmap_bucket_number("number").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("customers"))
+    )
+
+
+def active_from_bitmaps(bitmaps: DataFrame, grain: str | None, by: Sequence[str] = ("customer_segment",)) -> DataFrame:
+    """Exact distinct active customers per day or month (or of all days, without a grain) and ``by``."""
+    spans = [] if grain is None else [(F.col("day") if grain == "day" else F.trunc("day", "month")).alias(grain)]
+    keys = [*([] if grain is None else [grain]), *by]
+    merged = bitmaps.groupBy(*spans, *by, "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+    counted = F.coalesce(F.sum(F.bitmap_count("customers")), F.lit(0).cast("long"))
+    return merged.groupBy(*keys).agg(counted.alias("active_customers"))
+
+
+def day_partials(bank: DataFrame, card: DataFrame, accounts: DataFrame, cards: DataFrame, customers: DataFrame) -> DataFrame:
+    """Count and exact amount per day, source, channel and segment. They add up, so a day's rows can be
+    replaced without looking at other days."""
+    current = customers.filter("is_current").select("customer_id", "customer_segment")
+    owners = tagged_accounts(accounts, cards).join(current, "customer_id").select("source", "account_id", "customer_segment")
+    facts = tagged_facts(bank, card).select(
+        "source", "account_id", F.col("txn_date").alias("day"), "channel", exact(F.col("amount")).alias("amount")
+    )
+    return (
+        facts.join(owners, ["source", "account_id"])
+        .groupBy("day", "source", "channel", "customer_segment")
+        .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("amount"))
+    )
+
+
+def touched_days(*deliveries: DataFrame) -> list[date | None]:
+    """The days that deliveries of facts have rows for: as many as the calendar has at most."""
+    days = reduce(DataFrame.union, [d.select("txn_date") for d in deliveries]).distinct()
+    return [r[0] for r in days.collect()]
+
+
+def on_days(rows: DataFrame, column: str, days: Sequence[date | None]) -> Column:
+    """Whether a row is of one of the days; a list of constants, so that files are skipped by it."""
+    known = F.col(column).isin([d for d in days if d is not None])
+    return F.coalesce(known, F.lit(None in days))
+
+
+def refreshed(stored: DataFrame, rebuild: Callable[[DataFrame, DataFrame], DataFrame], bank: DataFrame, card: DataFrame, days: Sequence[date | None]) -> DataFrame:
+    """Stored day partials (sums or bitmaps) with those of some days made anew from the facts of these
+    days only."""
+    kept = stored.filter(~on_days(stored, "day", days))
+    facts = [f.filter(on_days(f, "txn_date", days)) for f in (bank, card)]
+    return kept.unionByName(rebuild(*facts).select(*stored.columns))
+
+
 def daily_trend(days: DataFrame) -> DataFrame:
     """Transaction count and amount per day, source, channel and segment."""
     return days.groupBy("day", "source", "channel", "customer_segment").agg(
@@ -55,9 +122,8 @@ def daily_trend(days: DataFrame) -> DataFrame:
 
 
 def active_customers(days: DataFrame, grain: str) -> DataFrame:
-    """Distinct customers with a transaction per day or month and segment.
-
-    Distinct counts do not add up across days, so each grain is counted on its own.
+    """Distinct customers with a transaction per day or month and segment, from customer days; see
+    :func:`active_from_bitmaps` for counts that are shared between grains.
     """
     bucket = F.col("day") if grain == "day" else F.trunc("day", "month")
     return days.groupBy(bucket.alias(grain), "customer_segment").agg(

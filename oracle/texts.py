@@ -97,6 +97,8 @@ _BODIES["fact_insert_new"] = """
 # --- gold -------------------------------------------------------------------------------------
 _BODIES["agg_holdings"] = "SELECT * FROM holdings_now"
 _BODIES["agg_txn_12m"] = "SELECT * FROM activity_now"
+_BODIES["agg_txn_dates"] = """
+    SELECT DATE '2000-05-31' AS as_of, * FROM activity_old UNION ALL SELECT DATE '2000-06-30', * FROM activity_now"""
 _BODIES["agg_txn_auto"] = "SELECT * FROM activity_auto"
 _BODIES["mart_base"] = "SELECT * EXCLUDE (full_name, phone, email) FROM base_now"
 _BODIES["mart_customer_360"] = "SELECT * FROM mart_now"
@@ -237,6 +239,10 @@ _BODIES["daily_trend"] = "SELECT * FROM trend"
 _BODIES["monthly_active"] = """
     SELECT CAST(date_trunc('month', day) AS DATE) AS month, customer_segment,
            count(DISTINCT customer_id) AS active_customers FROM days GROUP BY ALL"""
+_BODIES["active_span"] = """
+    SELECT count(DISTINCT customer_id) AS active_customers FROM days WHERE strftime(day, '%Y-%m') IN ('1999-01', '1999-02', '1999-03')"""
+_BODIES["trend_refreshed"] = _BODIES["daily_trend"]
+_BODIES["active_refreshed"] = _BODIES["monthly_active"]
 _BODIES["daily_active"] = """
     SELECT day, customer_segment, count(DISTINCT customer_id) AS active_customers FROM days GROUP BY ALL"""
 
@@ -319,15 +325,24 @@ _BODIES["dash_filter_values"] = """
     UNION ALL SELECT DISTINCT 'month', strftime(day, '%Y-%m') FROM days"""
 
 # --- report measures --------------------------------------------------------------------------
-_AGE_BAND = """CASE WHEN age < 25 THEN '1. <25' WHEN age < 35 THEN '2. 25-34' WHEN age < 45 THEN '3. 35-44'
-    WHEN age < 55 THEN '4. 45-54' WHEN age < 65 THEN '5. 55-64' ELSE '6. 65+' END"""
-_TENURE_BAND = """CASE WHEN tenure_days < 365 THEN '1. <1 năm' WHEN tenure_days < 1095 THEN '2. 1-3 năm'
-    WHEN tenure_days < 1825 THEN '3. 3-5 năm' ELSE '4. 5+ năm' END"""
-_ENGAGEMENT = """CASE WHEN recency_days IS NULL THEN 'Chưa GD' WHEN recency_days <= 30 THEN '1. Rất tích cực (≤30d)'
-    WHEN recency_days <= 90 THEN '2. Tích cực (31-90d)' WHEN recency_days <= 180 THEN '3. Nguội (91-180d)'
-    ELSE '4. Ngủ đông (>180d)' END"""
-_PERSONA = """CASE WHEN digital_txn_ratio >= 0.8 THEN 'Digital-native' WHEN digital_txn_ratio >= 0.5 THEN 'Digital-first'
-    WHEN digital_txn_ratio > 0 THEN 'Hybrid' ELSE 'Truyền thống' END"""
+# Labels of the bands with the bound of each, in their order, and the label of all others.
+_STEPS = {
+    "age": ("<", ((25, "1. <25"), (35, "2. 25-34"), (45, "3. 35-44"), (55, "4. 45-54"), (65, "5. 55-64")), "6. 65+"),
+    "tenure_days": ("<", ((365, "1. <1 năm"), (1095, "2. 1-3 năm"), (1825, "3. 3-5 năm")), "4. 5+ năm"),
+    "recency_days": ("<=", ((30, "1. Rất tích cực (≤30d)"), (90, "2. Tích cực (31-90d)"), (180, "3. Nguội (91-180d)")), "4. Ngủ đông (>180d)"),
+    "digital_txn_ratio": (">=", ((0.8, "Digital-native"), (0.5, "Digital-first"), (5e-324, "Hybrid")), "Truyền thống"),
+}
+
+
+def _step(column: str) -> str:
+    """The label of the first bound that a value meets, looked up among rows of (order, bound, label)."""
+    meets, steps, others = _STEPS[column]
+    rows = ", ".join(f"({i}, {bound!r}::DOUBLE, '{label}')" for i, (bound, label) in enumerate(steps))
+    return f"coalesce((SELECT min_by(label, i) FROM (VALUES {rows}) AS s(i, bound, label) WHERE {column} {meets} bound), '{others}')"
+
+
+_AGE_BAND, _TENURE_BAND, _PERSONA = (_step(c) for c in ("age", "tenure_days", "digital_txn_ratio"))
+_ENGAGEMENT = f"if(recency_days IS NULL, 'Chưa GD', {_step('recency_days')})"
 _BODIES["bi_bands"] = f"""
     SELECT customer_id, {_AGE_BAND} AS age_band, tenure_days / 365.25::DOUBLE AS tenure_years, {_TENURE_BAND} AS tenure_band,
            {_AUM_BAND} AS aum_band, {_ENGAGEMENT} AS engagement_status, {_PERSONA} AS digital_persona,
