@@ -100,17 +100,17 @@ def touched_days(*deliveries: DataFrame) -> list[date | None]:
     return [r[0] for r in days.collect()]
 
 
-def on_days(rows: DataFrame, column: str, days: Sequence[date | None]) -> Column:
-    """Whether a row is of one of the days; a list of constants, so that files are skipped by it."""
+def on_days(column: str, days: Sequence[date | None]) -> Column:
+    """A filter for the rows of some days; constants, which reach the scan, so that files are skipped."""
     known = F.col(column).isin([d for d in days if d is not None])
-    return F.coalesce(known, F.lit(None in days))
+    return known | F.col(column).isNull() if None in days else known
 
 
 def refreshed(stored: DataFrame, rebuild: Callable[[DataFrame, DataFrame], DataFrame], bank: DataFrame, card: DataFrame, days: Sequence[date | None]) -> DataFrame:
     """Stored day partials (sums or bitmaps) with those of some days made anew from the facts of these
     days only."""
-    kept = stored.filter(~on_days(stored, "day", days))
-    facts = [f.filter(on_days(f, "txn_date", days)) for f in (bank, card)]
+    kept = stored.filter(~F.coalesce(on_days("day", days), F.lit(False)))
+    facts = [f.filter(on_days("txn_date", days)) for f in (bank, card)]
     return kept.unionByName(rebuild(*facts).select(*stored.columns))
 
 
