@@ -38,6 +38,7 @@ from clientlens.plans import (
 from clientlens.schemas import BRONZE, GOLD, SILVER, align_to_schema
 from clientlens.sources.lake import Lake
 from clientlens.sources.scratch import materialise, scratch_root
+from clientlens.streaming.ingest import ingest_files
 
 AS_OF = date(2000, 6, 30)
 PREVIOUS = date(2000, 5, 31)
@@ -311,6 +312,20 @@ def bronze_upsert(bank: Bank) -> DataFrame:
     return incremental.current_rows(_customer_batches(bank), "customer_id")
 
 
+@query
+def stream_once(bank: Bank) -> DataFrame:
+    """Files that arrive in two runs of a stream; the second run gets all files of the first again."""
+    root = f"{scratch_root(bank.spark)}/stream-{uuid.uuid4().hex}"
+    first = bank.source("src_customers")
+    second = adapters.changed_customers(bank.spark, bank.folder)
+    target = Lake(bank.spark, root).table("bronze", "pg_customers", BRONZE["pg_customers"], "_batch_id")
+    for delivered in (first, first.unionByName(second)):
+        delivered.select(*first.columns).write.mode("append").parquet(f"{root}/in")
+        run = ingest_files(target, f"{root}/in", first.schema, f"{root}/checkpoint", "postgres", once_within="30 days")
+        run.awaitTermination()
+    return target.read().select(*first.columns)
+
+
 @query
 def export_meta(bank: Bank) -> DataFrame:
     described = export.export_metadata(
@@ -577,6 +592,19 @@ def snapshot_key_changes(bank: Bank) -> DataFrame:
     return compare.key_changes(bank.customers, bank.changed_customers, "customer_id", columns)
 
 
+@query
+def load_changes(bank: Bank) -> DataFrame:
+    """What a second published load of the customers changed, by digests of key buckets."""
+    table = Lake(bank.spark, f"{scratch_root(bank.spark)}/lake-{uuid.uuid4().hex}").table(
+        "silver", "customers", bank.changed_customers.schema, "customer_segment"
+    )
+    first = bank.customers.drop("is_current")
+    table.replace(first)
+    # The second load takes the place of the first one in the segments that it has rows for.
+    table.overwrite_partitions(bank.changed_customers)
+    return compare.changes(*table.difference(1, 2), "customer_id", ["customer_segment", "email"])
+
+
 # --- the jobs, over the same tables --------------------------------------------------------------
 
 

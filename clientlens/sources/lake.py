@@ -157,6 +157,16 @@ class LakeTable:
         entries = self.entries()
         return self._load(live_parts(entries)[0], entries)
 
+    def difference(self, old: int, new: int) -> tuple[DataFrame, DataFrame]:
+        """The rows that only the state after write ``old``, or only that after ``new``, reads.
+
+        Folders never change, so what lies in the same partition of the same folder in both states is
+        equal and isn't read. A state that was vacuumed can't be read any more.
+        """
+        entries = self.entries()
+        before, after = (live_parts([e for e in entries if e.number <= n])[0] for n in (old, new))
+        return self._load(sorted({*before} - {*after}), entries), self._load(sorted({*after} - {*before}), entries)
+
     # --- files --------------------------------------------------------------------------------
 
     def _hadoop(self, path: str):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -20,6 +21,7 @@ def ingest_files(
     checkpoint: str,
     source: str,
     log: AuditLog | None = None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Append all files that arrived since the last call as new batches, then stop.
 
@@ -27,6 +29,11 @@ def ingest_files(
     failure carries the same batch id and replaces its earlier rows. Readers take the latest
     row per key, as for any other batches. With ``log``, the bronze audit log, each batch is
     recorded, which is how the silver run finds it.
+
+    ``once_within`` is a time such as ``7 days``: rows that arrived already, in the same batch or a file
+    of an earlier one, are dropped for so long after they came first. They are remembered by Spark's
+    state store under the checkpoint, spread over the shuffle partitions by all columns, and
+    forgotten as the watermark of arrival passes; restarts keep it. Other rows of the same key pass.
     """
 
     def append(batch: DataFrame, epoch: int) -> None:
@@ -39,6 +46,10 @@ def ingest_files(
             log.append(batch_id, target.path.rsplit("/", 1)[-1], source, "stream", rows, now)
 
     arriving = target.spark.readStream.schema(file_schema).parquet(folder)
+    if once_within:
+        # A batch's time is kept in the checkpoint, so a replay sees the same one, and none is late.
+        timed = arriving.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", once_within)
+        arriving = timed.dropDuplicatesWithinWatermark(file_schema.names).drop("_arrived")
     return (
         arriving.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)

@@ -12,7 +12,7 @@ def _deliver(spark, folder, rows):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
 
 
-def _run(lake, tmp_path):
+def _run(lake, tmp_path, once_within=None):
     target = lake.table("bronze", "pg_customers", BRONZE["pg_customers"], "_batch_id")
     query = ingest_files(
         target,
@@ -21,6 +21,7 @@ def _run(lake, tmp_path):
         str(tmp_path / "checkpoint"),
         "postgres",
         AuditLog(lake, "bronze"),
+        once_within,
     )
     assert query.awaitTermination(120)
     return target
@@ -42,3 +43,17 @@ def test_arriving_files_become_batches(spark, lake, tmp_path):
 
     _run(lake, tmp_path)  # nothing new arrived
     assert target.read().count() == 4
+
+
+def test_rows_that_arrived_already_are_dropped(spark, lake, tmp_path):
+    folder = str(tmp_path / "in")
+    first = [sb.customer("C001", "Mai Lan"), sb.customer("C001", "Mai Lan"), sb.customer("C002", "Do Khoa")]
+    _deliver(spark, folder, first)
+    target = _run(lake, tmp_path, "30 days")
+    assert target.read().count() == 2
+    # The stream starts anew from its checkpoint; an old delivery comes again, with one new row.
+    _deliver(spark, folder, [*first, sb.customer("C002", "Do Khoa", "PREMIER")])
+    _deliver(spark, folder, first)
+    target = _run(lake, tmp_path, "30 days")
+    assert rows_of(target.read().select("customer_id", "customer_segment")) == [("C001", "MASS"), ("C002", "MASS"), ("C002", "PREMIER")]
+    assert target.read().select("_batch_id").distinct().count() == 2
