@@ -69,6 +69,9 @@ class SilverTable:
     partition: str | None = None
     #: Whether the days of ``partition`` are folders, or its months.
     grain: str = "month"
+    #: Folders that the rows of a type 1 dimension are dealt to by key; a load rewrites those that its
+    #: delivery hits. About a gigabyte for each is a good number.
+    buckets: int = 16
 
 
 # The tables of the two source systems and their keys.
@@ -168,6 +171,7 @@ def silver_tables_from_mapping(raw: Mapping) -> list[SilverTable]:
                 surrogate,
                 body.get("partition"),
                 body.get("grain", "month"),
+                int(body.get("buckets", 16)),
             )
         )
     return tables

@@ -21,11 +21,15 @@ from clientlens.sources.lake import Dimension, Lake, LakeTable
 from clientlens.sources.scratch import materialise
 
 LAYER = "silver"
+#: Key ranges of a delivery that stored facts are searched in.
+ZONES = 32
 
 
 def silver_table(lake: Lake, table: SilverTable) -> LakeTable | Dimension:
     if table.kind == "scd2":
         return lake.dimension(LAYER, table.name, SILVER[table.name])
+    if table.kind == "scd1":
+        return lake.table(LAYER, table.name, SILVER[table.name], table.key, buckets=table.buckets, lookup=table.key)
     by_month = table.partition is not None and table.grain == "month"
     return lake.table(LAYER, table.name, SILVER[table.name], table.partition, by_month)
 
@@ -71,10 +75,24 @@ def load_scd1(
     batch_id: str,
     batches: Sequence[str] | None = None,
 ) -> int:
-    """Upsert a type 1 dimension and return the number of rows published."""
+    """Upsert a type 1 dimension and return the number of rows written.
+
+    Only the key buckets that the delivery hits are read and written again; all of them where the
+    table was dealt to another number of buckets.
+    """
     target = silver_table(lake, table)
     incoming = _stamped(delivered(lake, table, batches), table, run_ts, batch_id)
-    return target.replace(scd.scd1_merge(target.state(), incoming, table.key), run_ts, batch_id)
+    touched = target.touched(incoming) if target.exists() else None
+    if touched is None:
+        return target.replace(scd.scd1_merge(target.state(), incoming, table.key), run_ts, batch_id)
+    return target.overwrite_partitions(scd.scd1_merge(touched, incoming, table.key))
+
+
+def zones(keys: DataFrame, key: str, count: int = ZONES) -> list[tuple]:
+    """Smallest and largest key of about ``count`` ranges of equally many keys; that many rows come to
+    the driver, whatever their number."""
+    dealt = keys.select(key).filter(F.col(key).isNotNull()).repartitionByRange(count, key)
+    return [tuple(r) for r in dealt.groupBy(F.spark_partition_id()).agg(F.min(key).alias("low"), F.max(key).alias("high")).select("low", "high").collect()]
 
 
 def load_scd2(
@@ -120,6 +138,8 @@ def load_fact(
 ) -> int:
     """Add the transactions that are not stored yet and return their number.
 
+    Stored keys are searched only in the ranges of delivered ones: these reach the Parquet footers, so
+    new keys beyond the stored ones read no row group, whatever has been stored.
     ``stable_dates`` states that a key never changes its date, so only the dates of the
     delivery, and rows without a date, need to be searched. With ``update`` stored transactions
     take the delivered values; the partitions they touch are rewritten.
@@ -135,7 +155,10 @@ def load_fact(
     if stable_dates:
         low, high = incoming.agg(F.min(day), F.max(day)).first()
         stored = stored.filter(day.isNull() | (day.between(low, high) if low is not None else F.lit(False)))
-    return target.append(scd.fact_new_rows(stored, incoming, table.key))
+    near = F.lit(False)
+    for low, high in zones(incoming, table.key):
+        near |= F.col(table.key).between(low, high)
+    return target.append(scd.fact_new_rows(stored.filter(near), incoming, table.key))
 
 
 def _update(target: LakeTable, stored: DataFrame, incoming: DataFrame, table: SilverTable) -> int:

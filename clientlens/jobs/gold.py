@@ -22,8 +22,9 @@ _SILVER = {t.name: t for t in SILVER_TABLES}
 
 
 def gold_table(lake: Lake, name: str) -> LakeTable:
-    partition = "snapshot_date" if name == "mart_customer_360" else None
-    return lake.table(LAYER, name, GOLD[name], partition)
+    if name == "mart_customer_360":
+        return lake.table(LAYER, name, GOLD[name], "snapshot_date", lookup="customer_id")
+    return lake.table(LAYER, name, GOLD[name])
 
 
 def _silver(lake: Lake, name: str) -> DataFrame:

@@ -41,7 +41,7 @@ _POINTER = (
 MANY_FILES, FILE_BYTES = 4, 128 << 20
 #: How long a superseded folder stays for its readers.
 KEPT = timedelta(days=7)
-_LOAD, _MONTH = "_load", "_month"
+_LOAD, _MONTH, _BUCKET = "_load", "_month", "_bucket"
 Part = tuple[str, str]
 
 
@@ -76,7 +76,12 @@ def live_parts(entries: Iterable[Row]) -> tuple[list[Part], dict[Part, datetime]
 
 class LakeTable:
     """One table. ``partition_by`` names a column whose values become folders; with ``by_month`` it is
-    a date, and its months become folders, in which the rows of a file are in order of the date."""
+    a date, and its months become folders, in which the rows of a file are in order of the date; with
+    ``buckets`` it is a key, and its rows are dealt by a hash to so many folders, in order of the key.
+
+    ``lookup`` names a column by which single rows are looked for: files are in its order within a
+    partition and carry Bloom filters of it, so a lookup skips the row groups that can't hold the value.
+    """
 
     def __init__(
         self,
@@ -85,12 +90,18 @@ class LakeTable:
         schema: StructType,
         partition_by: str | None = None,
         by_month: bool = False,
+        buckets: int = 0,
+        lookup: str | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = partition_by
         self.by_month = by_month
+        self.buckets = buckets
+        self.lookup = lookup
+        #: The column that only folder names hold.
+        self.derived = _MONTH if by_month else _BUCKET if buckets else None
 
     # --- what counts --------------------------------------------------------------------------
 
@@ -117,8 +128,22 @@ class LakeTable:
 
     def part_of(self) -> Column:
         """The partition of a row."""
-        day = F.col(self.partition_by)
-        return F.date_format(day, "yyyy-MM") if self.by_month else day
+        column = F.col(self.partition_by)
+        if self.buckets:
+            # With the number of buckets in it: other numbers of buckets have other names.
+            return F.concat(F.lit(f"{self.buckets}-"), F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("string"))
+        return F.date_format(column, "yyyy-MM") if self.by_month else column
+
+    def touched(self, keys: DataFrame) -> DataFrame | None:
+        """The stored rows of all buckets that hold one of the keys, or would; None where the table isn't
+        dealt to its present number of buckets."""
+        entries = self.entries()
+        live = live_parts(entries)[0]
+        prefix = f"{_BUCKET}={self.buckets}-"
+        if not self.buckets or not all(part.startswith(prefix) for _, part in live):
+            return None
+        hit = {f"{_BUCKET}={r[0]}" for r in keys.select(self.part_of()).distinct().collect()}
+        return self._load([pair for pair in live if pair[1] in hit], entries)
 
     def _load(self, parts: Sequence[Part], entries: Iterable[Row] = ()) -> DataFrame:
         """The rows of some partitions; whole folders are read as such."""
@@ -133,8 +158,8 @@ class LakeTable:
             whole = not self.partition_by or len(own) == held.get(folder)
             paths += [self._folder(folder)] if whole else [f"{self._folder(folder)}/{part}" for part in own]
         stored = StructType([*self.schema.fields]).add(_LOAD, StringType())
-        if self.by_month:
-            stored = stored.add(_MONTH, StringType())
+        if self.derived:
+            stored = stored.add(self.derived, StringType())
         rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*paths)
         return rows.select(*self.schema.names)
 
@@ -198,13 +223,18 @@ class LakeTable:
         folder = uuid.uuid4().hex
         watch = Observation()
         rows = align_to_schema(df, self.schema).observe(watch, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in figures.items()))
-        by = self.partition_by
-        if self.by_month:
-            by = _MONTH
-            rows = rows.withColumn(_MONTH, self.part_of()).hint("rebalance", _MONTH).sortWithinPartitions(_MONTH, self.partition_by)
-        elif by:
+        by = self.derived or self.partition_by
+        if self.derived:
+            rows = rows.withColumn(by, self.part_of())
+        if by:
             rows = rows.hint("rebalance", by)
+        order = [*dict.fromkeys(c for c in (by, self.lookup, self.derived and self.partition_by) if c)]
+        if self.derived or self.lookup:
+            rows = rows.sortWithinPartitions(*order)
         writer = rows.write.partitionBy(by) if by else rows.write
+        if self.lookup:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.lookup}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.parquet(self._folder(folder))
         try:
             return folder, watch.get
@@ -345,9 +375,16 @@ class Lake:
         self.root = root.rstrip("/")
 
     def table(
-        self, layer: str, name: str, schema: StructType, partition_by: str | None = None, by_month: bool = False
+        self,
+        layer: str,
+        name: str,
+        schema: StructType,
+        partition_by: str | None = None,
+        by_month: bool = False,
+        buckets: int = 0,
+        lookup: str | None = None,
     ) -> LakeTable:
-        return LakeTable(self.spark, self.path(layer, name), schema, partition_by, by_month)
+        return LakeTable(self.spark, self.path(layer, name), schema, partition_by, by_month, buckets, lookup)
 
     def dimension(self, layer: str, name: str, schema: StructType) -> Dimension:
         return Dimension(self.spark, self.path(layer, name), schema)
