@@ -17,7 +17,8 @@ as many tasks as it has pairs of blocks.
 Defined results: vectors that are NULL, empty, zero, or hold NULL or a non-finite component, and rows
 without label, link with nothing; lengths other than the label's most linked only to equal lengths;
 rows without id stay alone with component NULL and are kept; repeated rows are vectors of their own,
-rows with the same id one node; no rows give no rows; further columns are left out.
+usable rows with the same id are one node of the components, also across labels; no rows give no rows;
+further columns are left out.
 """
 
 from __future__ import annotations
@@ -133,46 +134,56 @@ def links_of(matrix: np.ndarray, n: np.ndarray, split: int, threshold: float) ->
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of each row of ``vec_id``,
     ``embedding`` and ``label``."""
-    classes = materialise(classes_of(vectors), "classes")
+    # A class has a number of its own: an id with several vectors may be the smallest of several classes.
+    classes = materialise(classes_of(vectors).withColumn("class", F.monotonically_increasing_id()), "classes")
     groups = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("m"))
     # Classes of a label and size go to blocks by a hash; a block is about BLOCK classes.
     blocked = classes.join(groups.withColumn("blocks", F.ceil(F.col("m") / BLOCK)), ["label", "size"]).select(
-        "label", "size", "rep", "n", "vector", "blocks", F.pmod(F.xxhash64("rep"), "blocks").alias("block")
+        "label", "size", "class", "n", "vector", "blocks", F.pmod(F.xxhash64("class"), "blocks").alias("block")
     )
     # Each block meets itself and every later one.
     met = F.expr("""
         explode(transform(sequence(0L, blocks - 1), other -> struct(least(block, other) AS low, greatest(block, other) AS high)))
     """)
-    met_by = blocked.select("label", "size", "block", "rep", "n", "vector", met.alias("met"))
+    met_by = blocked.select("label", "size", "block", "class", "n", "vector", met.alias("met"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         low, high = rows["met"].iloc[0]["low"], rows["met"].iloc[0]["high"]
-        rows = rows.sort_values(["block", "rep"], kind="stable")
-        reps, n = rows["rep"].to_numpy(), rows["n"].to_numpy()
+        rows = rows.sort_values(["block", "class"], kind="stable")
+        numbers, n = rows["class"].to_numpy(), rows["n"].to_numpy()
         split = int((rows["block"] == low).sum()) if low != high else 0
         if low != high and split == len(rows):
             return pd.DataFrame({"kind": [], "a": [], "b": []})
         linked, links = links_of(np.stack(rows["vector"].to_numpy()), n, split, threshold)
         some = linked > 0
-        a, b = (reps[[x[k] for x in links]] if links else np.empty(0, np.int64) for k in (0, 1))
+        a, b = (numbers[[x[k] for x in links]] if links else np.empty(0, np.int64) for k in (0, 1))
         return pd.DataFrame({
             "kind": np.repeat([0, 1], [some.sum(), len(a)]),
-            "a": np.concatenate([reps[some], a]),
+            "a": np.concatenate([numbers[some], a]),
             "b": np.concatenate([linked[some], b]),
         })
 
     found = materialise(met_by.groupBy("label", "size", "met").applyInPandas(compare, PARTIAL), "links")
-    roots = components(found.filter("kind = 1").select("a", "b"))
-    linked = found.filter("kind = 0").groupBy("a").agg(F.sum("b").alias("linked")).withColumnRenamed("a", "rep")
-    by_class = (
-        classes.join(linked, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("label", "vector", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
-    )
     own = F.transform("embedding", lambda x: x.cast("double") + 0.0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", own.alias("vector"))
-    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("root", "vec_id"))
-    return rows.join(by_class, ["label", "vector"], "left").select(
+    placed = rows.join(classes.select("label", "vector", "class"), ["label", "vector"], "left").select("vec_id", "class")
+    placed = materialise(placed, "placed")
+    # An id with several vectors ties their classes together.
+    spans = placed.filter("vec_id IS NOT NULL AND class IS NOT NULL").groupBy("vec_id").agg(F.min("class").alias("a"), F.max("class").alias("last"))
+    several = spans.filter("a < last").select("vec_id", "a")
+    ties = placed.join(several, "vec_id").filter("class <> a").select("a", F.col("class").alias("b")).distinct()
+    roots = components(found.filter("kind = 1").select("a", "b").unionByName(ties)).withColumnRenamed("node", "class")
+    linked = found.filter("kind = 0").groupBy(F.col("a").alias("class")).agg(F.sum("b").alias("linked"))
+    rooted = (
+        classes.select("class", "rep", "n")
+        .join(linked, "class", "left")
+        .join(roots, "class", "left")
+        .select("class", "rep", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "class").alias("root"))
+    )
+    smallest = rooted.groupBy("root").agg(F.min("rep").alias("smallest"))
+    by_class = rooted.join(smallest, "root").select("class", "n_links", "smallest")
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("smallest", "vec_id"))
+    return placed.join(by_class, "class", "left").select(
         "vec_id",
         F.when(F.col("vec_id").isNotNull() & F.col("n_links").isNotNull(), F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
         component.alias("component_id"),

@@ -22,14 +22,19 @@ def brute(rows, threshold):
             k = root[k]
         return k
 
+    def join(a, b):
+        p, q = sorted((top(a), top(b)), key=lambda k: rows[k][0])
+        root[q] = p
+
     for a in usable:
         for b in usable:
             if a < b and rows[a][2] == rows[b][2] and len(usable[a]) == len(usable[b]):
                 x, y = usable[a], usable[b]
                 if x @ y / math.sqrt(x @ x) / math.sqrt(y @ y) >= threshold:
                     links[a], links[b] = links[a] + 1, links[b] + 1
-                    p, q = top(a), top(b)
-                    root[q if rows[p][0] <= rows[q][0] else p] = p if rows[p][0] <= rows[q][0] else q
+                    join(a, b)
+            if a < b and rows[a][0] == rows[b][0]:
+                join(a, b)
     return sorted(((-1 if i is None else i), links[k], -1 if i is None else rows[top(k)][0] if k in usable else i) for k, (i, *_) in enumerate(rows))
 
 
@@ -54,6 +59,15 @@ def test_links(spark, monkeypatch, block, tile):
     assert all(r.kept == (r.component_id is None or r.vec_id == r.component_id) for r in found)
 
 
+def test_ids_with_several_vectors(spark):
+    v, w, u = ([float(i == k) for i in range(4)] for k in range(3))
+    rows = [(1, v, 0), (5, v, 0), (5, w, 0), (7, w, 0), (9, u, 0), (9, v, 1), (9, w, 1), (11, v, 1), (12, None, 0), (12, u, 0), (5, w, 0)]
+    found = vectors.near_duplicates(spark.createDataFrame([(*r, "x", "x", "x") for r in rows], SCHEMA), 0.98).collect()
+    # The row without a vector stays alone.
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == brute(rows, 0.98)
+    assert {r.vec_id: r.component_id for r in found if r.n_links}[7] == 1
+
+
 def test_bound_holds():
     rng = np.random.default_rng(2)
     units = vectors.unit(rng.normal(size=(300, 64)) * np.exp(rng.normal(size=(300, 1))))
