@@ -6,15 +6,23 @@ has a presentation importance, the entropy of the child sequences it has on them
 importance, 1 less the mean entropy of its blocks of text over the pages; both are scaled by the log
 of ``m``. A node is as important as the larger of the two, times the weight of its role.
 
-*Roles.* Elements for navigation, headers, footers, asides, forms, adverts, notices, comments and
-the like, by tag, role attribute or by a word of class or id, have the weight 0; so has everything in
-them. In an article's own header the headings stay. All others have the weight 1.
+*Doubt.* Few pages say little, so a node's importance is drawn towards 1 as if ``DOUBT`` more pages
+had spoken for it. A branch is as important as the most important node in it, so removing the
+blocks of unimportant nodes removes just the unimportant branches.
+
+*Roles.* Elements for navigation, headers, footers, asides, forms, dialogs and the like, by tag or
+role attribute, and hidden ones have the weight 0; so has everything in them. So have elements with
+a name (a class or id) that says such a thing and nothing else: ``cookie-notice`` and
+``left-sidebar``, but not ``social-history``. Within the main element only the names of adverts and
+reader comments say so, as their text may differ from page to page; all else is up to the tree. In
+an article's own header the headings stay. All others have the weight 1.
 
 *Extraction.* The main text is what is inside ``article`` elements, or ``main``, or an element whose
-class or id says content; on a page without any of these it is the body. Branches with an
-importance of ``LEAST`` or less are removed if their node stands on ``PAGES`` pages at least. Inside
-the main element this is asked only of branches below an element with a class or id: an article's
-plain paragraphs stay even if all pages of a site have the same ones.
+class or id says content; on a page without any of these it is the body. In the body, nodes with an
+importance of ``LEAST_IN_BODY`` or less are removed. Inside the main element they must have ``LEAST``
+or less, and stand below an element with a class or id: an article's plain paragraphs stay even if
+all pages of a site have the same ones. A page of which nothing would be left keeps its nodes: on a
+site of copies of one page the tree can't tell text from frame.
 
 Text is decoded, white space inside a block becomes one blank, blocks are joined by a line break in
 page order. ``br`` is white space. Defined results: NULL or empty html has an empty text; NULL or
@@ -26,7 +34,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -37,7 +45,8 @@ from pyspark.sql import functions as F
 from .common import in_slices, materialise, strings
 
 LEAST = 0.1
-PAGES = 5
+LEAST_IN_BODY = 0.4
+DOUBT = 0.5
 
 # Tags and words by their meaning.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +67,16 @@ NOISE_WORDS = frozenset(
     "newsletter share sharing social related recommended recommendations widget pagination pager toolbar search "
     "contentinfo complementary alert".split()
 )
+OWN_NOISE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors comment comments commentlist disqus "
+    "respond".split()
+)
+#: Words beside those above that change nothing about what an element is.
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box button buttons center col column container content div footer form global group header icons "
+    "inner item items left line link links list main outer page panel post primary right row secondary section site slot "
+    "small text thread top unit wrap wrapper".split()
+)
 HEADER_WORDS = frozenset(("header", "masthead", "pageheader"))
 MAIN_WORDS = frozenset(("content", "maincontent", "article", "articlebody", "post", "entry", "story", "main"))
 CLOSES = {
@@ -121,18 +140,30 @@ def _words(text: str) -> set[str]:
     return found | {re.sub(r"[^a-z]", "", part) for part in text.lower().split()}
 
 
+def _says(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names in ``value`` is made of ``words`` and plain words alone."""
+    for name in value.split():
+        parts = set(re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name))
+        parts = {part.lower() for part in parts}
+        if re.sub(r"[^a-z]", "", name.lower()) in words or (parts & words and parts <= words | PLAIN_WORDS):
+            return True
+    return False
+
+
 def _child(parent: Element, tag: str, attributes: str) -> Element:
-    presentation, words, hidden = "", set(), False
+    presentation, words, noise = "", set(), False
+    noise_words = OWN_NOISE_WORDS if parent.main else NOISE_WORDS
     if attributes:
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id", "role"):
                 words |= _words(value)
+                noise = noise or _says(value, NOISE_WORDS if name == "role" else noise_words)
                 presentation += f" {name}={re.sub(r'[0-9]+', '', value.lower())}"
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                hidden = True
+                noise = True
             elif name == "style" and "display:none" in value.replace(" ", "").lower():
-                hidden = True
+                noise = True
     main = parent.main
     if not main and tag not in ("html", "body"):
         main = 3 if tag == "article" else 2 if tag == "main" or "main" in words else 1 if words & MAIN_WORDS else 0
@@ -141,7 +172,7 @@ def _child(parent: Element, tag: str, attributes: str) -> Element:
     role = parent.role
     if tag in ("html", "body"):
         pass
-    elif tag in NOISE_TAGS or hidden or words & NOISE_WORDS:
+    elif tag in NOISE_TAGS or noise:
         role = NOISE
     elif role != NOISE and (tag == "header" or words & HEADER_WORDS):
         role = HEADER if parent.main else NOISE
@@ -234,19 +265,19 @@ def parse(text: str) -> Page:
     return Page(blocks, sequences)
 
 
-def extract(page: Page, removed: frozenset[int]) -> str:
-    """The main text of a page; ``removed`` has the paths of its host's unimportant nodes."""
-    main = max((b.main for b in page.blocks if b.role == FREE), default=0)
-    return "\n".join(
-        b.text
-        for b in page.blocks
-        if b.role == FREE and b.main >= main and not (b.path in removed and (b.marked or not main))
-    )
+def extract(page: Page, importance: Mapping[int, float]) -> str:
+    """The main text of a page; ``importance`` has that of its host's less important nodes by path."""
+    free = [b for b in page.blocks if b.role == FREE]
+    main = max((b.main for b in free), default=0)
+    inside = [b for b in free if b.main >= main]
+    least = LEAST if main else LEAST_IN_BODY
+    kept = [b for b in inside if importance.get(b.path, 1.0) > least or (main and not b.marked)]
+    return "\n".join(b.text for b in kept or inside)
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
     """Nodes of all hosts: ``host``, ``path``, ``pages``, ``presentation``, ``content`` and
-    ``importance`` before the weight of the role."""
+    ``importance``, before doubt and the weight of the role."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,23 +313,28 @@ def style_trees(pages: DataFrame) -> DataFrame:
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
-    weak = style_trees(pages).filter((F.col("importance") <= LEAST) & (F.col("pages") >= PAGES))
-    weak = materialise(weak.groupBy("host").agg(F.collect_set("path").alias("removed")), "style-trees")
+    doubted = (F.col("pages") * F.col("importance") + DOUBT) / (F.col("pages") + DOUBT)
+    weak = style_trees(pages).select("host", F.struct("path", doubted.alias("importance")).alias("node"))
+    weak = weak.filter(F.col("node.importance") <= max(LEAST, LEAST_IN_BODY))
+    weak = materialise(weak.groupBy("host").agg(F.collect_list("node").alias("weak")), "style-trees")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        site, nodes = None, {}
         for batch in batches:
-            removed = batch.column("removed").to_pylist()
+            hosts, weak_nodes = batch.column("host").to_pylist(), batch.column("weak")
             texts = strings(batch, "html")
             for low, high in in_slices(texts, 1 << 20):
-                found = [
-                    extract(parse(text), frozenset(paths or ()))
-                    for text, paths in zip(texts.slice(low, high - low).to_pylist(), removed[low:high])
-                ]
+                found = []
+                for i, text in enumerate(texts.slice(low, high - low).to_pylist(), low):
+                    if hosts[i] != site:
+                        site = hosts[i]
+                        nodes = {n["path"]: n["importance"] for n in weak_nodes[i].as_py() or ()}
+                    found.append(extract(parse(text), nodes))
                 own = [batch.column(c).slice(low, high - low) for c in ("page_id", "url")]
                 yield pa.record_batch([*own, pa.array(found, pa.string())], names=["page_id", "url", "text"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1), F.lit("")))
-    joined = rows.withColumn("host", host).join(weak, "host", "left").drop("host")
+    joined = rows.withColumn("host", host).join(weak, "host", "left")
     texts = joined.mapInArrow(run, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))
