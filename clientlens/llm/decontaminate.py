@@ -8,16 +8,19 @@ neighbouring bins make a band, each band overlaps the next one by a bin, and onl
 that many shared q-grams are kept. Their regions are verified by an alignment that looks at
 the band's diagonals only.
 
-The items are a stated query set. They are dealt to blocks by the hash of their id, as many as their
-measured size asks for at ``BLOCK_CHARS`` each; each block is broadcast and all documents are read
-against it. A block that grew beyond ``MOST_CHARS`` (a single huge item) is an error.
+The items are a stated query set. Items above ``PART_CHARS`` are cut into parts that overlap by two
+long windows, and each part is looked for by itself. All are dealt to blocks by a hash, as many as
+their measured size asks for at ``BLOCK_CHARS`` each, and a block that came out above ``MOST_CHARS`` is
+dealt again; each block is broadcast and all documents are read against it. The shared q-grams of a
+document are counted by stretches of it of about ``STRETCH`` postings, so a long text with very common
+q-grams needs no more memory than a short one.
 
 The edit budget is ``edits`` per code point; for short items it is lowered until the lemma asks for
 one q-gram. Items longer than ``WINDOW`` are looked for in windows that overlap by half, and in
 short windows of ``SHORT`` code points that overlap by half too. A verbatim quote of ``QUOTE`` code
 points (191; 50 words of 2.8 letters) has a whole short window, so each is found, and longer ones
 with as many edits as their windows allow. A short window has no row of its own where it lies in
-an occurrence of a longer one of its item. Defined results: items shorter than q and NULL texts match
+an occurrence of a longer one of its item (or of its part). Defined results: items shorter than q and NULL texts match
 nothing; documents without id and repeated ones are matched each for itself; items without id are
 items like others, with a NULL ``item_id`` in the result; equal items are one; no items or no documents
 give no rows; further columns are left out.
@@ -43,7 +46,9 @@ SHORT = 128
 #: The shortest quote of a long item that is found wherever it begins.
 QUOTE = SHORT + SHORT // 2 - 1
 BLOCK_CHARS = 4_000_000
+PART_CHARS = 1_000_000
 MOST_CHARS = 64_000_000
+STRETCH = 1 << 20
 MATCHES = "doc_id long, item_id long, begin long, end long, edits long"
 BITS = 22
 #: White space beyond Latin-1 (fixed values).
@@ -152,18 +157,29 @@ def bands(points: np.ndarray, block: Block) -> list[tuple[int, int, int]]:
     if not len(at):
         return []
     counts = block.first[key + 1] - block.first[key]
-    post = ragged(block.first[key], counts)
-    piece, diagonal = block.piece[post], np.repeat(at, counts) - block.place[post]
-    # Diagonals can be below 0; they begin at -WINDOW.
-    bins = (diagonal + WINDOW) >> block.shifts[piece]
-    codes, hits = np.unique(piece * (1 << 40) + bins, return_counts=True)
-    piece, bins = codes >> 40, codes & ((1 << 40) - 1)
-    least = block.least[piece]
-    next_to = np.concatenate([np.diff(codes) == 1, [False]])
-    pair = hits + np.where(next_to, np.append(hits[1:], 0), 0)
-    enough = np.flatnonzero(pair >= least)
+    stretch = (np.cumsum(counts) - counts) // STRETCH
+    starts = np.flatnonzero(np.diff(stretch, prepend=-1))
+    codes, hits = np.empty(0, np.int64), np.empty(0, np.int64)
+    enough = []
+    for low, high in zip(starts, [*starts[1:], len(at)]):
+        post = ragged(block.first[key[low:high]], counts[low:high])
+        piece, diagonal = block.piece[post], np.repeat(at[low:high], counts[low:high]) - block.place[post]
+        # Diagonals can be below 0; they begin at -WINDOW.
+        bins = (diagonal + WINDOW) >> block.shifts[piece]
+        more, n = np.unique(piece * (1 << 40) + bins, return_counts=True)
+        codes, same = np.unique(np.concatenate([codes, more]), return_inverse=True)
+        hits = np.bincount(same, np.concatenate([hits, n])).astype(np.int64)
+        piece, bins = codes >> 40, codes & ((1 << 40) - 1)
+        next_to = np.concatenate([np.diff(codes) == 1, [False]])
+        pair = hits + np.where(next_to, np.append(hits[1:], 0), 0)
+        # No later q-gram can be on a diagonal of a band that ends a window before it.
+        done = (bins + 2) << block.shifts[piece] <= at[high] if high < len(at) else np.ones(len(codes), bool)
+        enough.append(codes[done & (pair >= block.least[piece])])
+        codes, hits = codes[~done], hits[~done]
+    enough = np.sort(np.concatenate(enough))
+    piece, bins = enough >> 40, enough & ((1 << 40) - 1)
     merged: list[tuple[int, int, int]] = []
-    for i in enough.tolist():
+    for i in range(len(enough)):
         p, low = int(piece[i]), (int(bins[i]) << int(block.shifts[piece[i]])) - WINDOW
         high = low + (2 << int(block.shifts[p])) - 1
         if merged and merged[-1][0] == p and low <= merged[-1][2] + 1:
@@ -251,44 +267,71 @@ def occurrences(text: str, block: Block) -> Iterator[tuple[int | None, int, int,
                     yield block.items[p], int(places[one[0]]), int(places[one[1] - 1]) + 1, one[2]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """A row for each occurrence of an item: ``doc_id``, ``item_id``, ``begin``, ``end``, ``edits``."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("text IS NOT NULL").distinct()
+def _dealt(items: DataFrame, level: int = 0) -> Iterator[DataFrame]:
+    """The items in blocks that can be broadcast. Parts are far smaller than a block, so dealing a
+    block that is too large again ends."""
     # Windows of long items overlap by half, for two sizes: each code point is indexed four times.
     indexed_chars = F.length("text") * F.when(F.length("text") > WINDOW, 4).otherwise(1)
     chars = items.agg(F.coalesce(F.sum(indexed_chars), F.lit(0))).first()[0]
     blocks = -(-chars // BLOCK_CHARS)
-    found = spark.createDataFrame([], MATCHES)
-    for number in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
-        if block.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] > MOST_CHARS:
-            raise ValueError(f"a block of items has more than {MOST_CHARS} code points")
+    if level and chars <= MOST_CHARS:
+        yield items
+    elif blocks:
+        of_block = F.pmod(F.xxhash64("item_id", "text", F.lit(level)), F.lit(blocks))
+        for number in range(blocks):
+            yield from _dealt(items.filter(of_block == number), level + 1)
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """The different items, those above ``PART_CHARS`` in overlapping parts."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.filter("text IS NOT NULL").distinct()
+    blanks = f"[\\x00-\\x20\\x85\\xA0{WIDE_BLANKS}]+"
+    drawn = F.regexp_replace("text", blanks, " ")
+    starts = F.sequence(F.lit(1), F.greatest(F.length("text") - 2 * WINDOW, F.lit(1)), F.lit(PART_CHARS - 2 * WINDOW))
+    long = items.filter(F.length("text") > PART_CHARS).select("item_id", drawn.alias("text"))
+    parts = long.select("item_id", "text", F.explode(starts).alias("start")).select("item_id", F.substr("text", F.col("start"), F.lit(PART_CHARS)).alias("text"))
+    return items.filter(F.length("text") <= PART_CHARS).unionByName(parts.distinct())
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, edits: float) -> DataFrame:
+    """A row for each occurrence, with the hash of the document's text as ``key``."""
+    spark = docs.sparkSession
+    rows = documents(docs).withColumn("key", F.xxhash64("text"))
+    found = spark.createDataFrame([], f"{MATCHES}, key long")
+    for block in _dealt(_items(benchmark)):
         indexed = index([tuple(r) for r in block.toLocalIterator()], edits)
         if indexed is not None:
-            found = found.unionByName(_against(documents(docs), spark.sparkContext.broadcast(indexed)))
+            found = found.unionByName(_against(rows, spark.sparkContext.broadcast(indexed)))
     return found
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
+    """A row for each occurrence of an item: ``doc_id``, ``item_id``, ``begin``, ``end``, ``edits``."""
+    return _hits(docs, benchmark, edits).drop("key")
+
+
 def _against(docs: DataFrame, block) -> DataFrame:
+    names = ["doc_id", "item_id", "begin", "end", "edits", "key"]
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), strings(batch)
+            ids, keys, texts = batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), strings(batch)
             for low, high in in_slices(texts, 1 << 20):
                 rows = [
-                    (ids[low + i], *found)
-                    for i, text in enumerate(texts.slice(low, high - low).to_pylist())
+                    (ids[i], *found, keys[i])
+                    for i, text in enumerate(texts.slice(low, high - low).to_pylist(), low)
                     for found in occurrences(text, block.value)
                 ]
                 if rows:
-                    columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-                    yield pa.record_batch(columns, names=["doc_id", "item_id", "begin", "end", "edits"])
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-    return docs.mapInArrow(match, MATCHES)
+    return docs.mapInArrow(match, f"{MATCHES}, key long")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """The documents in which no item occurs. Rows without id stay: they can't be told apart."""
-    hit = contaminated(docs, benchmark, edits).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    """The rows in whose text no item occurs, told apart by id (which may be NULL) and text."""
+    hits = _hits(docs, benchmark, edits).select(F.col("doc_id").alias("id"), "key").distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    own_id, own_key = F.col("row.doc_id").cast("long"), F.xxhash64(F.col("row.text").cast("string"))
+    return rows.join(hits, own_id.eqNullSafe(F.col("id")) & (own_key == F.col("key")), "left_anti").select("row.*")

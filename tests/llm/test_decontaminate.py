@@ -110,7 +110,7 @@ def test_documents(docs_of, benchmark):
     assert text[10][whole.begin : whole.end] == items[1].upper() and whole.edits == 0
     clean_ones = dc.clean_documents(docs, frame)
     assert clean_ones.columns == docs.columns
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in clean_ones.collect()) == [-1, 12, 13, 14]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in clean_ones.collect()) == [11, 12, 13, 14]
 
 
 def test_blocks_give_the_same(docs_of, benchmark, monkeypatch):
@@ -119,9 +119,51 @@ def test_blocks_give_the_same(docs_of, benchmark, monkeypatch):
     one = sorted(tuple(r) for r in dc.contaminated(docs, frame).collect())
     monkeypatch.setattr(dc, "BLOCK_CHARS", 500)
     assert sorted(tuple(r) for r in dc.contaminated(docs, frame).collect()) == one
-    monkeypatch.setattr(dc, "MOST_CHARS", 100)
-    with pytest.raises(ValueError, match="more than 100"):
-        dc.contaminated(docs, frame)
+    monkeypatch.setattr(dc, "MOST_CHARS", 8000)
+    assert sorted(tuple(r) for r in dc.contaminated(docs, frame).collect()) == one
+
+
+def test_an_item_beyond_a_part(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(dc, "PART_CHARS", 4000)
+    monkeypatch.setattr(dc, "BLOCK_CHARS", 8000)
+    rng = random.Random(11)
+    item = words(rng, 5000).replace(" ", " \n\t ")
+    frame = spark.createDataFrame([(1, item), (2, words(rng, 40))], "item_id long, text string")
+    assert dc._items(frame).agg({"text": "count"}).first()[0] > 5
+    flat = " ".join(item.split())
+    docs = [(at, f"{words(rng, 20)} {flat[at : at + dc.QUOTE]} {words(rng, 20)}") for at in range(0, len(flat) - dc.QUOTE, 397)]
+    docs.append((-1, words(rng, 300)))
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(docs_of(*docs), frame).collect()}
+    assert found == {(i, 1) for i, _ in docs if i >= 0}
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 400])
+def test_stretches_give_the_same_bands(stretch, monkeypatch):
+    rng = random.Random(12)
+    common = words(rng, 12)
+    items = [(i, f"{words(rng, 15)} {common} {words(rng, 15 + 40 * (i % 4))}") for i in range(20)]
+    block = dc.index(items)
+    text = " ".join(f"{common} {words(rng, 5)} {edited(rng, items[rng.randrange(20)][1], 3)}" for _ in range(30))
+    points = dc.normalised(text)[0]
+    whole = dc.bands(points, block)
+    monkeypatch.setattr(dc, "STRETCH", stretch)
+    assert whole and dc.bands(points, block) == whole
+
+
+def test_a_long_text_of_one_common_gram(docs_of, spark):
+    frame = spark.createDataFrame([(i, "spam " * 20 + f"{i} " * 30) for i in range(5)], "item_id long, text string")
+    rng = random.Random(13)
+    docs = docs_of((1, "spam " * 400), (2, words(rng, 50)))
+    assert {r.doc_id for r in dc.contaminated(docs, frame).collect()} <= {1}
+
+
+def test_rows_are_dropped_one_by_one(docs_of, benchmark):
+    frame, items = benchmark
+    docs = docs_of((1, f"a {items[1]} b"), (1, "clean"), (1, None), (None, items[2]), (None, "clean"), (2, items[2]), (2, items[2]))
+    docs = docs.selectExpr("*", "1 AS key", "2 AS id", "3 AS row")
+    kept = dc.clean_documents(docs, frame)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, "clean"), (1, ""), (1, "clean")]
 
 
 def test_repeated_items_are_measured_once(spark, docs_of, monkeypatch):
