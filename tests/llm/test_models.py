@@ -33,6 +33,34 @@ def test_exceptions_and_words():
     assert toxicity.density("worthless w0rthl3ss", found) == 100 and toxicity.density("", found) == 0
 
 
+def plain_density(text, weights, exceptions):
+    """The heaviest term that begins at each place, by trying all of them there."""
+    words = toxicity.fold(text)
+    spared = []
+    for phrase in (f" {' '.join(folded(e))} " for e in exceptions):
+        spared += [(at, at + len(phrase) - 1) for at in range(len(words)) if words.startswith(phrase, at)]
+    total = 0.0
+    for at in range(len(words)):
+        heaviest = max((w for term, w in weights.items() if words.startswith(term, at)), default=0.0)
+        if heaviest > 0 and not any(a <= at < b for a, b in spared):
+            total += heaviest
+    return 100 * total / max(len(words.split()), 1)
+
+
+def test_automaton_against_a_search_for_each_term():
+    rng = np.random.default_rng(5)
+    stems = ["trash", "trashy", "scum", "can", "worthless", "idiot", "1d10t", "SCUM!", "is", "full", "of"]
+    weights = {" trash ": 2.0, " trash can ": 0.5, " scum ": 3.0, " scum idiot ": 4.5, f" {folded('idiot')[0]} ": 1.25, " worthl": 1.0, " trashy": 0.25}
+    automaton = toxicity.Lexicon(weights).automaton()
+    hits = 0
+    for _ in range(300):
+        text = " ".join(rng.choice(stems, rng.integers(0, 25)))
+        found = toxicity.density(text, automaton)
+        assert found == pytest.approx(plain_density(text, weights, toxicity.EXCEPTIONS))
+        hits += found > 0
+    assert hits > 200
+
+
 @pytest.fixture
 def labelled(spark, docs_of):
     rng = np.random.default_rng(1)
@@ -114,6 +142,40 @@ def test_labels_of_whole_texts():
     assert np.allclose(found, one_by_one, atol=1e-5)
 
 
+def read_slowly(reader, content):
+    """States after each byte, unit by unit in plain numbers."""
+    units, state, states = range(languages.UNITS), [0.0] * languages.UNITS, []
+    clip = lambda x, low: min(max(x, low), 1.0)
+    for byte in content:
+        added = reader.table[byte].tolist()
+        gate = [clip(added[j] + sum(state[i] * float(reader.gates[i, j]) for i in units), 0.0) for j in range(2 * languages.UNITS)]
+        let = [gate[languages.UNITS + i] * state[i] for i in units]
+        new = [clip(added[2 * languages.UNITS + j] + sum(let[i] * float(reader.candidate[i, j]) for i in units), -1.0) for j in units]
+        state = [gate[j] * state[j] + (1 - gate[j]) * new[j] for j in units]
+        states.append(state)
+    return states
+
+
+def label_slowly(text, net):
+    content, sums = text.encode(), np.zeros(len(net.names))
+    for at in range(0, len(content), languages.WINDOW):
+        part = content[at : at + languages.WINDOW]
+        behind = read_slowly(net.backward, part[::-1])[::-1]
+        for one, other in zip(read_slowly(net.forward, part), behind):
+            sums += np.exp(each := np.array([*one, *other]) @ net.out + net.bias) / np.exp(each).sum()
+    return sums / max(len(content), 1)
+
+
+def test_windows_and_pooling_against_a_reader_step_by_step():
+    rng = np.random.default_rng(9)
+    new = languages.Direction.new
+    net = languages.Network(["a", "b", "c"], new(rng), new(rng), rng.normal(0, 1, (2 * languages.UNITS, 3)).astype("f4"), rng.normal(size=3).astype("f4"))
+    sizes = (0, 1, 5, languages.WINDOW - 1, languages.WINDOW, languages.WINDOW + 1, 3 * languages.WINDOW + 7)
+    texts = ["".join(rng.choice(list("abc é漢ü\n"), n)) for n in sizes]
+    found = languages.label(pa.array(texts, pa.large_string()), net)
+    assert np.allclose(found, [label_slowly(t, net) for t in texts], atol=1e-4)
+
+
 def test_languages_of_odd_rows(docs_of, no_docs):
     known = docs_of(*((i, "la casa es de los otros " * 5) for i in range(30)), lang="es").union(
         docs_of(*((i + 50, "the house which they have " * 5) for i in range(30)), lang="en")
