@@ -255,7 +255,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     """For each row ``doc_id``, ``leaf``, ``tampered``, ``subroot``, ``root`` and ``proof``: what stands
     to the left and right of its node on each level, from its own to below the root."""
     spark = docs.sparkSession
-    placed = ranked(leaves(docs), "source", F.col("doc_id").asc_nulls_first(), F.col("leaf"))
+    # Ranges are drawn from a sample, so what is ranked is read twice: digests, not texts.
+    digests = materialise(leaves(docs), "digests")
+    placed = ranked(digests, "source", F.col("doc_id").asc_nulls_first(), F.col("leaf"))
     # NULL stays apart from every text: a tree's name begins with a mark.
     tree = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit(":"), "source"))
     kept = F.struct("doc_id", "tampered", "leaf").cast(ROW_SQL)

@@ -103,3 +103,16 @@ def test_a_changed_text_is_noticed(spark, docs_of):
     assert all(row.whole == row.root for row in read)
     forged = proven.select("root", merkle.folded(merkle.F.sha2(proven.leaf, 256), proven.proof).alias("whole")).collect()
     assert all(row.whole != row.root for row in forged)
+
+
+def test_ranges_are_drawn_from_stored_digests(spark, docs_of, monkeypatch):
+    plans, rank = [], merkle.ranked
+
+    def watched(nodes, *order):
+        plans.append(nodes._jdf.queryExecution().executedPlan().toString())
+        return rank(nodes, *order)
+
+    monkeypatch.setattr(merkle, "ranked", watched)
+    assert merkle.manifest(docs_of((1, "a"), (2, "b"), (3, None))).count() == 3
+    # Ranking reads its input twice, for the sample and for the rows.
+    assert len(plans) == 2 and not any("sha2" in p for p in plans)
